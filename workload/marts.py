@@ -258,15 +258,15 @@ def _(r):
     """, months AS (
       SELECT last_day(CAST(d AS DATE)) AS month_end
       FROM generate_series(DATE '1997-01-01', DATE '1999-12-01', INTERVAL 1 MONTH) t(d))
-    SELECT e.employee_id, CAST(strftime(month_end, '%Y%m%d') AS INTEGER) AS date_key,
+    SELECT e.employee_id, CAST(strftime(m.month_end, '%Y%m%d') AS INTEGER) AS date_key,
            CAST(coalesce(amount, 0) AS DOUBLE) AS salary_amount,
            CAST(coalesce(days, 0) AS INTEGER) AS leave_days_taken, status = 'active' AS is_active
-    FROM employees e JOIN months ON hire_date <= month_end
-    LEFT JOIN salaries s ON s.employee_id = e.employee_id AND s.effective_date <= month_end
-         AND coalesce(s.end_date, DATE '9999-12-31') >= month_end
+    FROM employees e JOIN months m ON hire_date <= m.month_end
+    LEFT JOIN salaries s ON s.employee_id = e.employee_id AND s.effective_date <= m.month_end
+         AND coalesce(s.end_date, DATE '9999-12-31') >= m.month_end
     LEFT JOIN (SELECT employee_id, last_day(start_date) AS month_end, sum(end_date - start_date) AS days
                FROM leaves WHERE status = 'approved' GROUP BY 1, 2) l
-      ON l.employee_id = e.employee_id AND l.month_end = months.month_end""",
+      ON l.employee_id = e.employee_id AND l.month_end = m.month_end""",
 )
 def _(r):
     return facts.monthly_snapshot(r.employees, r.salaries, r.leaves, "1997-01-01", "1999-12-31")
