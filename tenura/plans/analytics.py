@@ -10,7 +10,7 @@ from tenura.functions.names import full_name
 from tenura.functions.rules import level_of, points, rule_score
 from tenura.operators.aggregates import amount_stats, average_rating, leave_days, top_n
 from tenura.operators.history import current_rows
-from tenura.operators.joins import fan_out_left
+from tenura.operators.joins import fan_out_left, lookup_rows
 from tenura.operators.ordered import Neighbour, Rank, over_groups
 from tenura.settings import DEFAULT_LIMITS, Limits
 
@@ -226,11 +226,14 @@ def pay_by_title(employees: DataFrame, salaries: DataFrame, limits: Limits = DEF
 def top_earners(
     employees: DataFrame, salaries: DataFrame, n: int = 10, limits: Limits = DEFAULT_LIMITS
 ) -> DataFrame:
-    """The ``n`` best paid, named after the top-n so that only ``n`` rows look up a name."""
+    """The ``n`` best paid with their names.
+
+    The top-n comes first and its ids filter the employees where they are
+    scanned, so neither table is shuffled for ``n`` rows.
+    """
     best = top_n(open_salaries(salaries), n, F.desc("amount"), "employee_id")
-    return best.join(employees.select("employee_id", "full_name", "job_title"), "employee_id", "left").select(
-        "employee_id", "full_name", "job_title", "amount"
-    )
+    named = lookup_rows(best, employees.select("employee_id", "full_name", "job_title"), "employee_id", "employee_id")
+    return best.join(named, "employee_id", "left").select("employee_id", "full_name", "job_title", "amount")
 
 
 def rating_by_department(employees: DataFrame, reviews: DataFrame, departments: DataFrame) -> DataFrame:

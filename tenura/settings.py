@@ -26,7 +26,7 @@ class Limits:
     broadcast_rows: row count up to which a counted frame may be broadcast.
     """
 
-    small_bytes: int = 128 * 1024 * 1024
+    small_bytes: int = 32 * 1024 * 1024
     max_group_rows: int = 5_000_000
     broadcast_rows: int = 500_000
 

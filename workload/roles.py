@@ -59,9 +59,9 @@ class Roles:
 
     @cached_property
     def salary_rows(self) -> DataFrame:
-        """Salary changes without end dates."""
+        """Salary changes without end dates; the employee is declared not null."""
         start = F.col("o_orderdate").cast("date")
-        return self.table("orders").select(
+        return self.table("orders").filter(F.col("o_custkey").isNotNull()).select(
             F.col("o_orderkey").alias("salary_id"),
             F.col("o_custkey").alias("employee_id"),
             F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
