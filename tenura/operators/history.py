@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.ordered import Neighbour, over_groups
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits
 
 OPEN_END = "9999-12-31"
 
@@ -28,7 +28,7 @@ def close_history(
     start: str,
     tie_break: str,
     out: str = "end_date",
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Chain the rows of a key: each ends the day before the next starts, the last stays open."""
     chained = over_groups(df, [key], [start, tie_break], [Neighbour(start, "_next", 1)], limits)

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.ordered import hot_keys, split_by_keys
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits, session_limits
 
 
 def fan_out_left(
-    left: DataFrame, right: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS
+    left: DataFrame, right: DataFrame, keys: list[str], limits: Limits | None = None
 ) -> DataFrame:
     """``left`` outer join ``right`` on ``keys`` where ``right`` may repeat a key.
 
@@ -29,7 +29,7 @@ def fan_out_left(
     cold_left, hot_left = split_by_keys(left, keys, hot)
     cold_right, hot_right = split_by_keys(right, keys, hot)
     cold = cold_left.join(cold_right, keys, "left")
-    if hot_left.count() <= limits.broadcast_rows:
+    if hot_left.count() <= (limits or session_limits(left.sparkSession)).broadcast_rows:
         hot_left = F.broadcast(hot_left)
     return cold.unionByName(hot_right.join(hot_left, keys).select(*cold.columns))
 

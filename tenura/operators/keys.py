@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tenura.operators.ordered import RowNumber, number_rows, over_groups
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits
 
 
 def surrogate_keys(
-    df: DataFrame, natural: list[str], key: str, limits: Limits = DEFAULT_LIMITS
+    df: DataFrame, natural: list[str], key: str, limits: Limits | None = None
 ) -> DataFrame:
     """(natural key, dense 1..n surrogate key) in natural-key order.
 
@@ -31,7 +31,7 @@ def uniquify(
     order: list[str],
     out: str,
     with_suffix=None,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Make ``base`` unique: the first holder keeps it, later ones get 1, 2, 3, ...
 

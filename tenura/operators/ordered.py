@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tenura.settings import DEFAULT_LIMITS, Limits, is_small, materialize
+from tenura.settings import Limits, is_small, materialize, session_limits
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id above, row position below
 
@@ -52,7 +52,7 @@ def over_groups(
     keys: list[str],
     order: list[str],
     columns: list[Neighbour | RowNumber | Rank],
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Add ``columns`` computed within ``keys`` in ascending ``order``.
 
@@ -67,7 +67,7 @@ def over_groups(
 
 
 def number_rows(
-    df: DataFrame, order: list[str], out: str, limits: Limits = DEFAULT_LIMITS
+    df: DataFrame, order: list[str], out: str, limits: Limits | None = None
 ) -> DataFrame:
     """Dense 1..n over the whole frame in ascending ``order``."""
     if is_small(df, limits):
@@ -76,12 +76,13 @@ def number_rows(
     return numbered.withColumn(out, F.col("_at") + 1).drop("_at", "_slice", "_pos")
 
 
-def hot_keys(df: DataFrame, keys: list[str], limits: Limits = DEFAULT_LIMITS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame | None:
     """The keys with more than ``max_group_rows`` rows, or None if there are none.
 
     At most (rows / max_group_rows) keys can exist, which bounds what reaches
     the driver and what is broadcast by ``split_by_keys``.
     """
+    limits = limits or session_limits(df.sparkSession)
     if is_small(df, limits):
         return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

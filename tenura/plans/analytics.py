@@ -12,7 +12,7 @@ from tenura.operators.aggregates import amount_stats, average_rating, leave_days
 from tenura.operators.history import current_rows
 from tenura.operators.joins import fan_out_left, lookup_rows
 from tenura.operators.ordered import Neighbour, Rank, over_groups
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits
 
 RISK_STEPS = [(4, "HIGH"), (2, "MEDIUM")]
 LOWEST_RISK = "LOW"
@@ -34,7 +34,7 @@ def staff_pay(
     salaries: DataFrame,
     departments: DataFrame,
     *columns: str,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Every employee with their open salaries and department name, plus ``columns`` of employees."""
     staff = employees.select("employee_id", "department_id", *columns)
@@ -44,7 +44,7 @@ def staff_pay(
 
 
 def salary_distribution(
-    employees: DataFrame, salaries: DataFrame, departments: DataFrame, limits: Limits = DEFAULT_LIMITS
+    employees: DataFrame, salaries: DataFrame, departments: DataFrame, limits: Limits | None = None
 ) -> DataFrame:
     """Headcount and current-salary statistics per department, best paid first."""
     stats = (
@@ -55,7 +55,7 @@ def salary_distribution(
     return stats.orderBy(F.desc_nulls_last("avg_salary"), "department_name")
 
 
-def review_trend(reviews: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def review_trend(reviews: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Each review with the previous rating, the change from it, and its rank by date."""
     with_history = over_groups(
         reviews,
@@ -67,7 +67,7 @@ def review_trend(reviews: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFra
     return with_history.withColumn("rating_change", F.col("rating") - F.col("previous_rating"))
 
 
-def review_summary(reviews: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def review_summary(reviews: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Average rating, average change and number of reviews per employee.
 
     Only the change is needed here, so no rank is computed.
@@ -88,7 +88,7 @@ def review_summary(reviews: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataF
 
 
 def performance_trends(
-    employees: DataFrame, reviews: DataFrame, ordered: bool = True, limits: Limits = DEFAULT_LIMITS
+    employees: DataFrame, reviews: DataFrame, ordered: bool = True, limits: Limits | None = None
 ) -> DataFrame:
     """Review summary of every employee, best rated first; ``employees`` carry full_name."""
     result = (
@@ -100,7 +100,7 @@ def performance_trends(
 
 
 def top_performers(
-    employees: DataFrame, reviews: DataFrame, n: int = 10, limits: Limits = DEFAULT_LIMITS
+    employees: DataFrame, reviews: DataFrame, n: int = 10, limits: Limits | None = None
 ) -> DataFrame:
     trends = performance_trends(employees, reviews, ordered=False, limits=limits)
     return top_n(trends, n, F.desc_nulls_last("avg_rating"), "employee_id")
@@ -139,7 +139,7 @@ def attrition_risk(
     reviews: DataFrame,
     leaves: DataFrame,
     ordered: bool = True,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Risk score and level of every active employee, highest first.
 
@@ -176,14 +176,14 @@ def risk_factors(
     salaries: DataFrame,
     reviews: DataFrame,
     leaves: DataFrame,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """How many active employees each rule applies to: one row, one column per rule."""
     staff, average_pay = _active_with_measures(employees, salaries, reviews, leaves, limits)
     return staff.agg(*[F.sum(points(condition, 1)).alias(name) for name, condition, _ in risk_rules(average_pay)])
 
 
-def below_company_average(employees: DataFrame, salaries: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def below_company_average(employees: DataFrame, salaries: DataFrame, limits: Limits | None = None) -> DataFrame:
     """Employees with an open salary under the company average, and the gap to it."""
     average_pay = company_average(salaries).scalar()
     paid = fan_out_left(employees.select("employee_id"), open_salaries(salaries), ["employee_id"], limits)
@@ -209,13 +209,13 @@ def headcount_by_department(employees: DataFrame, departments: DataFrame) -> Dat
 
 
 def pay_by_department(
-    employees: DataFrame, salaries: DataFrame, departments: DataFrame, limits: Limits = DEFAULT_LIMITS
+    employees: DataFrame, salaries: DataFrame, departments: DataFrame, limits: Limits | None = None
 ) -> DataFrame:
     paid = staff_pay(employees, salaries, departments, limits=limits)
     return paid.groupBy("department_name").agg(F.round(F.avg("amount"), 2).alias("avg_salary"))
 
 
-def pay_by_title(employees: DataFrame, salaries: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def pay_by_title(employees: DataFrame, salaries: DataFrame, limits: Limits | None = None) -> DataFrame:
     staff = employees.select("employee_id", "job_title")
     paid = fan_out_left(staff, open_salaries(salaries), ["employee_id"], limits)
     return paid.groupBy("job_title").agg(
@@ -224,7 +224,7 @@ def pay_by_title(employees: DataFrame, salaries: DataFrame, limits: Limits = DEF
 
 
 def top_earners(
-    employees: DataFrame, salaries: DataFrame, n: int = 10, limits: Limits = DEFAULT_LIMITS
+    employees: DataFrame, salaries: DataFrame, n: int = 10, limits: Limits | None = None
 ) -> DataFrame:
     """The ``n`` best paid with their names.
 

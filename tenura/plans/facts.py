@@ -14,7 +14,7 @@ from tenura.functions.rules import equals_flag
 from tenura.operators.aggregates import average_rating, leave_days, sum_or_zero
 from tenura.operators.history import current_rows, latest_by, month_ends
 from tenura.operators.joins import fan_out_left
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits
 
 
 def latest_rating(reviews: DataFrame, out: str = "performance_rating") -> DataFrame:
@@ -41,7 +41,7 @@ def fact_employee_snapshot(
     as_of=None,
     rating: str = "latest",
     project_key: int = 1,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per employee and open salary, keyed by the dimension keys.
 
@@ -85,7 +85,7 @@ def fct_employee_snapshot(
     leaves: DataFrame,
     assignments: DataFrame,
     as_of=None,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """Wide snapshot from the staging views: attributes, measures and flags."""
     salaries = stg_salaries.filter("is_current").select("employee_id", "salary_amount", "currency")
@@ -126,7 +126,7 @@ def monthly_snapshot(
     leaves: DataFrame,
     first,
     last,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> DataFrame:
     """One row per employee and month end in [first, last] from the hire month on.
 

@@ -10,7 +10,7 @@ from tenura.operators.ordered import number_rows
 from tenura.plans import dimensions, facts
 from tenura.plans.extract import extract_all
 from tenura.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, RANGES, SOURCE_TABLES, UNIQUE_KEYS
-from tenura.settings import DEFAULT_LIMITS, Limits
+from tenura.settings import Limits
 from tenura.sources.writers import load_warehouse, read_warehouse
 
 # fixed values: rows a loaded warehouse table has at least
@@ -25,7 +25,7 @@ def star_schema(
     start_year: int = 2015,
     end_year: int = 2026,
     rating: str = "latest",
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
     """The five dimensions with surrogate keys and the fact that refers to them.
 
@@ -69,7 +69,7 @@ def build_warehouse(
     start_year: int = 2015,
     end_year: int = 2026,
     minimum_rows: dict[str, int] | None = None,
-    limits: Limits = DEFAULT_LIMITS,
+    limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
     """Extract, transform, load with a full refresh, validate; returns the loaded tables."""
     tables = star_schema(spark, extract_all(source), source, as_of, start_year, end_year, limits=limits)

@@ -31,7 +31,14 @@ class Limits:
     broadcast_rows: int = 500_000
 
 
-DEFAULT_LIMITS = Limits()
+def session_limits(spark: SparkSession) -> Limits:
+    """The limits set in the session as spark.tenura.smallBytes, .maxGroupRows and .broadcastRows."""
+    default = Limits()
+    return Limits(
+        int(spark.conf.get("spark.tenura.smallBytes", str(default.small_bytes))),
+        int(spark.conf.get("spark.tenura.maxGroupRows", str(default.max_group_rows))),
+        int(spark.conf.get("spark.tenura.broadcastRows", str(default.broadcast_rows))),
+    )
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -39,8 +46,8 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def is_small(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
-    return estimated_bytes(df) <= limits.small_bytes
+def is_small(df: DataFrame, limits: Limits | None = None) -> bool:
+    return estimated_bytes(df) <= (limits or session_limits(df.sparkSession)).small_bytes
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -22,6 +22,48 @@ def test_query_matches_sql(spark, connection, name):
     assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLES[name]) is None
 
 
+# the queries with a window or a fan-out join, once more with their keys split as if all were hot
+SPLIT = [
+    "salary_distribution",
+    "salary_distribution_fan_out",
+    "review_trend",
+    "performance_trends",
+    "top_performers",
+    "attrition_risk",
+    "risk_factors",
+    "below_company_average",
+    "pay_by_title",
+    "close_history",
+    "uniquify",
+    "surrogate_keys",
+    "key_lookup",
+    "fact_snapshot",
+    "fact_snapshot_avg_rating",
+    "fct_employee_snapshot",
+    "monthly_snapshot",
+    "warehouse_build",
+]
+
+
+@pytest.fixture
+def split_keys(spark):
+    settings = {
+        "spark.tenura.smallBytes": "0",
+        "spark.tenura.maxGroupRows": "7",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_split_query_matches_sql(spark, connection, split_keys, name):
+    assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLES[name]) is None
+
+
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
 
