@@ -1,8 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the
-number of local threads. Every query runs once untimed, then its best of
-BENCH_RUNS (default 2) full evaluations counts.
+number of local threads. The list runs once untimed, then BENCH_RUNS
+(default 2) times; the best full evaluation of each query counts.
 """
 
 from __future__ import annotations
@@ -61,14 +61,13 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
-    for name in names:
-        times = []
-        for _ in range(runs + 1):
+    times = {name: [] for name in names}
+    for _ in range(runs + 1):
+        for name in names:
             started = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - started)
-        seconds[name] = round(min(times[1:]), 3)
+            times[name].append(time.perf_counter() - started)
+    seconds = {name: round(min(measured[1:]), 3) for name, measured in times.items()}
     print(
         json.dumps(
             {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tenura import schemas
 from tenura.functions import dates, names, rules
 from tenura.operators import aggregates, history, joins, keys, quality
-from tenura.settings import Limits, shared_folder
+from tenura.settings import Limits, materialize, shared_folder
 
 SPLIT = Limits(small_bytes=0, max_group_rows=2)
 SPLIT_NO_BROADCAST = Limits(small_bytes=0, max_group_rows=2, broadcast_rows=0)
@@ -223,4 +223,14 @@ def test_quality_on_empty_input(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+    else:
+        assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+        assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_materialize_is_read_back_from_files(spark):
+    stored = materialize(spark.range(10).withColumn("x", F.rand()), "test")
+    assert stored.inputFiles() and sorted(stored.collect()) == sorted(stored.collect())
