@@ -52,22 +52,28 @@ def suffix_before_at(value: Column, n: Column) -> Column:
 
 
 def group_leaders(
-    df: DataFrame, group: str, member: str, leader: str, first_n: int = 20, min_members: int = 2
+    df: DataFrame,
+    group: str,
+    member: str,
+    leader: str,
+    first_n: int = 20,
+    min_members: int = 2,
+    limits: Limits | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The lowest member id leads its group; the next ones, up to ``first_n``, report to it.
 
     Returns (group, leader) for groups with at least ``min_members`` members
-    and (member, leader) for the reporting members. Both are aggregates or
-    rank-limited before the shuffle, so a hot group sends ``first_n`` rows per
-    map task instead of all its members.
+    and (member, leader) for the reporting members. The leaders are a partial
+    aggregate. A short ``first_n`` is cut per map task before the shuffle (up
+    to spark.sql.optimizer.windowGroupLimitThreshold), so a hot group sends
+    ``first_n`` rows per task; a longer one numbers the members hot-key safe.
     """
-    present = df.filter(F.col(group).isNotNull())
+    present = df.filter(F.col(group).isNotNull()).select(group, member)
     groups = present.groupBy(group).agg(F.min(member).alias(leader), F.count(member).alias("_members"))
     leaders = groups.filter(F.col("_members") >= min_members).select(group, leader)
-    first = (
-        present.select(group, member)
-        .withColumn("_nth", F.row_number().over(W.partitionBy(group).orderBy(member)))
-        .filter(F.col("_nth") <= first_n)
-        .filter(F.col("_nth") > 1)
-    )
+    if first_n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        numbered = present.withColumn("_nth", F.row_number().over(W.partitionBy(group).orderBy(member)))
+    else:
+        numbered = over_groups(present, [group], [member], [RowNumber("_nth")], limits)
+    first = numbered.filter(F.col("_nth") <= first_n).filter(F.col("_nth") > 1)
     return leaders, first.join(leaders, group).select(member, leader)

@@ -48,11 +48,8 @@ def _same_row(a, b):
 
 
 def _same(x, y):
-    if x is None or y is None:
-        return x is y
-    if isinstance(x, float) or isinstance(y, float):
-        return math.isclose(x, y, rel_tol=1e-12, abs_tol=1e-12)
-    return type(x) is type(y) and x == y
+    """Same type and value; floats to the last digit, since value hashes compare them so."""
+    return type(x) is type(y) and (x == y or (isinstance(x, float) and math.isnan(x) and math.isnan(y)))
 
 
 def main() -> int:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+import random
+from datetime import date, timedelta
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,15 @@ def test_group_leaders_first_n_and_minimum(spark):
     )
 
 
+def test_group_leaders_beyond_the_group_limit(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id").alias("e"))
+    for limits in (Limits(), Limits(small_bytes=0, max_group_rows=100)):
+        _, reporting = keys.group_leaders(df, "g", "e", "m", first_n=1200, limits=limits)
+        rows = reporting.collect()
+        assert len(rows) == 2 * 1199 and max(r["e"] for r in rows) == 2 * 1200 - 1
+        assert all(r["m"] == r["e"] % 2 for r in rows)
+
+
 def test_suffix_before_at(spark):
     df = spark.createDataFrame([(1, "a.b@x"), (2, "a.b@x"), (3, "c@x"), (4, "a.b@x")], "id int, base string")
     unique = keys.uniquify(df, "base", ["id"], "email", keys.suffix_before_at)
@@ -138,6 +149,49 @@ def test_month_ends(spark):
     assert not ends[4]["e"]
 
 
+def test_month_ends_against_brute_force(spark):
+    rng = random.Random(3)
+    start = date(2019, 12, 28)
+    cases = []
+    for _ in range(400):
+        first = start + timedelta(days=rng.randrange(500))
+        cases.append((first, first + timedelta(days=rng.randrange(-5, 150))))
+    rows = (
+        spark.createDataFrame(cases, "a date, b date")
+        .select("a", "b", history.month_ends(F.col("a"), F.col("b")).alias("e"))
+        .collect()
+    )
+    for r in rows:
+        days = [r["a"] + timedelta(days=n) for n in range((r["b"] - r["a"]).days + 1)]
+        assert r["e"] == [x for x in days if (x + timedelta(days=1)).day == 1]
+
+
+def test_tenure_against_exact_arithmetic(spark):
+    as_of = date(2024, 1, 1)
+    hired = [(as_of - timedelta(days=n),) for n in range(-400, 9000, 7)]
+    rows = (
+        spark.createDataFrame(hired, "h date")
+        .select("h", dates.tenure_years(F.col("h"), dates.as_of_date(as_of)).alias("t"))
+        .collect()
+    )
+    cent = Decimal("0.01")
+    for r in rows:
+        exact = (Decimal((as_of - r["h"]).days) / 365).quantize(cent, ROUND_HALF_UP)
+        assert Decimal(str(r["t"])).quantize(cent) == exact
+
+
+def test_scd2_merge_twice_changes_nothing(spark):
+    first = spark.range(200).select("id", (F.col("id") % 7).alias("v"))
+    second = spark.range(50, 250).select("id", (F.col("id") % 5).alias("v"))
+    columns = ["id", "v", "effective_date", "expiry_date", "is_current"]
+    opened = history.scd2_columns(first, dates.as_of_date("2020-01-01"))
+    merged = history.scd2_merge(opened, second, "id", ["v"], dates.as_of_date("2021-01-01"))
+    again = history.scd2_merge(merged, second, "id", ["v"], dates.as_of_date("2022-01-01"))
+    assert values(merged, *columns) == values(again, *columns)
+    current = values(merged.filter("is_current"), "id", "v")
+    assert current == values(second, "id", "v")
+
+
 @pytest.mark.parametrize("close_missing", [True, False])
 def test_scd2_merge(spark, close_missing):
     old = spark.createDataFrame(

@@ -179,7 +179,7 @@ def _(r):
 @query(
     "company_average",
     "salaries",
-    "SELECT avg(amount) AS company_avg_salary FROM salaries WHERE end_date IS NULL",
+    "SELECT CAST(CAST(avg(amount) AS DECIMAL(28,6)) AS DOUBLE) AS company_avg_salary FROM salaries WHERE end_date IS NULL",
 )
 def _(r):
     return analytics.company_average(r.salaries)

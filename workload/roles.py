@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 from tenura.operators.aggregates import distinct_pairs
 from tenura.operators.history import close_history
+from tenura.settings import is_small, materialize
 from tenura.sources.readers import read_parquet
 
 AS_OF = "2002-01-01"
 
+_STORED_SALARIES: dict[tuple[str, str], DataFrame] = {}
+
 
 class Roles:
     """Role tables by attribute; reads lazily."""
@@ -72,7 +75,20 @@ class Roles:
 
     @cached_property
     def salaries(self) -> DataFrame:
-        """Salary history closed by the next change: one open row per employee."""
+        """Salary history closed by the next change: one open row per employee.
+
+        A large history is closed once per session and stored, as the salaries
+        table of a company would be; the queries then push their filter on the
+        end date into its scan.
+        """
+        if is_small(self.salary_rows):
+            return self._closed_salaries()
+        key = (self.spark.sparkContext.applicationId, self.directory)
+        if key not in _STORED_SALARIES:
+            _STORED_SALARIES[key] = materialize(self._closed_salaries(), "salaries")
+        return _STORED_SALARIES[key]
+
+    def _closed_salaries(self) -> DataFrame:
         return close_history(self.salary_rows, "employee_id", "effective_date", "salary_id")
 
     @cached_property
