@@ -15,23 +15,36 @@ from tenura.settings import Limits, session_limits
 
 
 def fan_out_left(
-    left: DataFrame, right: DataFrame, keys: list[str], limits: Limits | None = None
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    limits: Limits | None = None,
+    counted: DataFrame | None = None,
+    count_by: list[str] | None = None,
 ) -> DataFrame:
     """``left`` outer join ``right`` on ``keys`` where ``right`` may repeat a key.
 
     AQE cannot split the right side of a left outer join. Keys that repeat too
-    often on the right therefore go through an inner join (such a key has a
-    match by definition), with the few left rows broadcast if counted small.
+    often on the right therefore go through an inner join, with the few left
+    rows broadcast if counted small, plus the left rows without a match.
+
+    ``counted`` may name a cheaper frame to look for hot keys in, by the
+    columns ``count_by`` out of ``keys``; it must have no fewer rows per key
+    than ``right`` has per join key.
     """
-    hot = hot_keys(right.dropna(how="any", subset=keys), keys, limits)
+    count_by = count_by or keys
+    counted = right if counted is None else counted
+    hot = hot_keys(counted.dropna(how="any", subset=count_by), count_by, limits)
     if hot is None:
         return left.join(right, keys, "left")
-    cold_left, hot_left = split_by_keys(left, keys, hot)
-    cold_right, hot_right = split_by_keys(right, keys, hot)
+    cold_left, hot_left = split_by_keys(left, count_by, hot)
+    cold_right, hot_right = split_by_keys(right, count_by, hot)
     cold = cold_left.join(cold_right, keys, "left")
+    unmatched = hot_left.join(hot_right.select(*keys).distinct(), keys, "left_anti")
     if hot_left.count() <= (limits or session_limits(left.sparkSession)).broadcast_rows:
         hot_left = F.broadcast(hot_left)
-    return cold.unionByName(hot_right.join(hot_left, keys).select(*cold.columns))
+    matched = hot_right.join(hot_left, keys).select(*cold.columns)
+    return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
 
 
 def lookup_rows(few: DataFrame, many: DataFrame, few_key: str, many_key: str) -> DataFrame:

@@ -151,7 +151,9 @@ def monthly_snapshot(
         .agg(F.sum(F.datediff("end_date", "start_date")).alias("leave_days_taken"))
     )
     on = ["employee_id", "month_end"]
-    return fan_out_left(staff.join(away, on, "left"), paid, on, limits).select(
+    # an interval gives at most one row per month: counting the intervals of an employee is enough
+    measured = staff.join(away, on, "left")
+    return fan_out_left(measured, paid, on, limits, salaries, ["employee_id"]).select(
         "employee_id",
         date_key(F.col("month_end")).alias("date_key"),
         F.coalesce("salary_amount", F.lit(0)).alias("salary_amount"),

@@ -83,6 +83,16 @@ def test_fan_out_left_keeps_every_row(spark, limits):
     assert values(joined, "k", "name", "v") == sorted(want, key=lambda t: tuple(str(x) for x in t))
 
 
+def test_fan_out_left_counted_by_part_of_the_key(spark):
+    left = spark.createDataFrame([(k, m) for k in (1, 2, None) for m in range(4)], "k int, m int")
+    right = spark.createDataFrame([(1, m % 3, m) for m in range(30)] + [(2, 1, 5)], "k int, m int, v int")
+    plain = joins.fan_out_left(left, right, ["k", "m"])
+    split = joins.fan_out_left(left, right, ["k", "m"], SPLIT, right.select("k"), ["k"])
+    assert split.columns == plain.columns
+    assert values(split, "k", "m", "v") == values(plain, "k", "m", "v")
+    assert split.count() == 30 + 1 + 3 + 4 + 1  # the fourth month of key 1 and the NULL key stay
+
+
 def test_update_by_key(spark):
     df = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, None, 0)], "k int, v string, z int")
     updates = spark.createDataFrame([(2, "B"), (3, "C"), (9, "Z"), (1, None)], "k int, v string")
