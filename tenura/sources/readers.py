@@ -54,6 +54,29 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 
+def read_jdbc_by_key(
+    spark: SparkSession, url: str, table: str, key: str, partitions: int, properties: dict[str, str] | None = None
+) -> DataFrame:
+    """Scan a database table with ``partitions`` tasks over the range of its numeric ``key``.
+
+    The range comes from one aggregate that the database computes.
+    """
+    bounds = f"(SELECT min({key}) AS low, max({key}) AS high FROM {table}) AS bounds"
+    row = read_jdbc(spark, url=url, table=bounds, properties=properties).first()
+    if row is None or row["low"] is None:
+        return read_jdbc(spark, url=url, table=table, properties=properties)
+    return read_jdbc(
+        spark,
+        url=url,
+        table=table,
+        properties=properties,
+        partition_column=key,
+        lower=row["low"],
+        upper=row["high"],
+        partitions=partitions,
+    )
+
+
 def read_source_tables(spark: SparkSession, directory: str, file_format: str = "parquet") -> dict[str, DataFrame]:
     """All declared source tables found as ``<directory>/<table>.<format>``."""
     options = {"header": "true"} if file_format == "csv" else {}
