@@ -298,3 +298,26 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_materialize_is_read_back_from_files(spark):
     stored = materialize(spark.range(10).withColumn("x", F.rand()), "test")
     assert stored.inputFiles() and sorted(stored.collect()) == sorted(stored.collect())
+
+
+class _Session:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.sparkContext, self.conf, self.master, self.folder = self, self, master, None
+
+    def get(self, name, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+    local = _Session("local[2]")
+    assert shared_folder(local) == local.folder and shared_folder(local) == local.folder
