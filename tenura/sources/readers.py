@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tenura.schemas import SOURCE_TABLES, schema_of
 
 
-def read_parquet(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{table}.parquet")
+def read_parquet(spark: SparkSession, directory: str, table: str, schema=None) -> DataFrame:
+    """``<directory>/<table>.parquet``; with a known ``schema`` no file is opened before the query runs."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{directory}/{table}.parquet")
 
 
 def read_csv(spark: SparkSession, path: str, table: str | None = None, schema=None) -> DataFrame:

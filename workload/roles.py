@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tenura.operators.aggregates import distinct_pairs
 from tenura.operators.history import close_history
@@ -18,6 +19,7 @@ from tenura.sources.readers import read_parquet
 
 AS_OF = "2002-01-01"
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -29,7 +31,11 @@ class Roles:
         self.directory = directory
 
     def table(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, self.directory, name)
+        """A test table; its schema is inferred once per folder, not by a job per read."""
+        key = (self.directory, name)
+        df = read_parquet(self.spark, self.directory, name, _SCHEMAS.get(key))
+        _SCHEMAS[key] = df.schema
+        return df
 
     @cached_property
     def employees(self) -> DataFrame:
