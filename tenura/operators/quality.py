@@ -41,6 +41,11 @@ def non_negative(column: str) -> RowRule:
     return RowRule("non_negative", (column,), F.col(column) < 0)
 
 
+def max_length(column: str, limit: int) -> RowRule:
+    """Text of at most ``limit`` characters; NULL passes."""
+    return RowRule("max_length", (column,), F.length(column) > limit)
+
+
 def implies(condition: Column, column: str, values: list) -> RowRule:
     """Where ``condition`` holds, ``column`` has one of ``values``."""
     return RowRule("implies", (column,), condition & ~F.col(column).isin(*values))

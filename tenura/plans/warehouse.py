@@ -9,7 +9,16 @@ from tenura.operators.keys import attach_key, surrogate_keys
 from tenura.operators.ordered import number_rows
 from tenura.plans import dimensions, facts
 from tenura.plans.extract import extract_all
-from tenura.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, RANGES, SOURCE_TABLES, UNIQUE_KEYS
+from tenura.schemas import (
+    FOREIGN_KEYS,
+    MAX_LENGTHS,
+    NOT_NULL,
+    PRIMARY_KEYS,
+    RANGES,
+    SOURCE_TABLES,
+    UNIQUE_KEYS,
+    WAREHOUSE_TABLES,
+)
 from tenura.settings import Limits
 from tenura.sources.writers import load_warehouse, read_warehouse
 
@@ -92,13 +101,20 @@ def source_checks(source: dict[str, DataFrame]) -> DataFrame:
     return quality.combine([report for table in SOURCE_TABLES for report in _table_checks(source, table)])
 
 
-def _table_checks(source, table):
-    df = source[table]
+def warehouse_checks(loaded: dict[str, DataFrame]) -> DataFrame:
+    """All declared constraints of the loaded warehouse tables as one report."""
+    return quality.combine([report for table in WAREHOUSE_TABLES for report in _table_checks(loaded, table)])
+
+
+def _table_checks(tables, table):
+    df = tables[table]
     reports = [quality.primary_key(df, table, [PRIMARY_KEYS[table]])]
     reports += [quality.unique(df, table, columns) for columns in UNIQUE_KEYS.get(table, [])]
     rules = [quality.not_null(c) for c in NOT_NULL.get(table, [])]
     rules += [quality.in_range(c, low, high) for c, (low, high) in RANGES.get(table, {}).items()]
-    reports.append(quality.row_checks(df, table, rules))
+    rules += [quality.max_length(c, limit) for c, limit in MAX_LENGTHS.get(table, {}).items()]
+    if rules:
+        reports.append(quality.row_checks(df, table, rules))
     for column, (parent, key) in FOREIGN_KEYS.get(table, {}).items():
-        reports.append(quality.references(df, source[parent], column, key, table))
+        reports.append(quality.references(df, tables[parent], column, key, table))
     return reports

@@ -105,6 +105,29 @@ FOREIGN_KEYS = {
     },
 }
 
+MAX_LENGTHS = {
+    "departments": {"department_name": 100, "location": 100},
+    "employees": {"first_name": 50, "last_name": 50, "email": 100, "job_title": 100, "status": 20},
+    "salaries": {"currency": 3},
+    "projects": {"project_name": 200, "status": 20},
+    "employee_projects": {"role": 100},
+    "leave_requests": {"leave_type": 50, "status": 20},
+    "dim_date": {"quarter_name": 10, "month_name": 10, "day_name": 10},
+    "dim_department": {"department_name": 100, "location": 100, "manager_name": 100},
+    "dim_employee": {
+        "first_name": 50,
+        "last_name": 50,
+        "full_name": 100,
+        "email": 100,
+        "job_title": 100,
+        "department_name": 100,
+        "status": 20,
+    },
+    "dim_project": {"project_name": 200, "department_name": 100, "status": 20},
+    "dim_leave_type": {"leave_type": 50, "category": 50},
+    "fact_employee_snapshot": {"source_system": 50},
+}
+
 RANGES = {"performance_reviews": {"rating": (1, 5)}}
 
 LEAVE_TYPES = [

@@ -249,6 +249,7 @@ def test_quality_checks(spark):
                     quality.accepted_values("s", ["a", "b"]),
                     quality.in_range("n", 1, 5),
                     quality.non_negative("n"),
+                    quality.max_length("s", 0),
                     quality.implies(F.col("s") == "z", "n", [3]),
                 ],
             ),
@@ -265,6 +266,7 @@ def test_quality_checks(spark):
         "accepted_values": 2,
         "in_range": 2,
         "non_negative": 1,
+        "max_length": 4,
         "implies": 1,
     }
     with pytest.raises(ValueError, match="in_range"):

@@ -184,6 +184,13 @@ def test_warehouse_build_load_and_gate(spark, source, tmp_path, limits):
     assert {r["source_system"] for r in fact.collect()} == {"hr_postgresql"}
     assert by(loaded["dim_employee"], "employee_key")[3]["employee_id"] == 3
     assert all(r["load_timestamp"] is not None for r in fact.collect())
+    broken = warehouse.warehouse_checks(loaded).filter("not passed").collect()
+    assert broken == []
+    orphaned = {**loaded, "dim_department": loaded["dim_department"].filter("department_id <> 1")}
+    failed = warehouse.warehouse_checks(orphaned).filter("not passed").collect()
+    assert [(r["table"], r["columns"], r["failing_rows"]) for r in failed] == [
+        ("fact_employee_snapshot", "department_key", 3)
+    ]
     again = warehouse.build_warehouse(
         spark, source, str(tmp_path / "wh"), AS_OF, 2024, 2024, minimum_rows={"dim_date": 365}, limits=limits
     )

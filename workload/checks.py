@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tenura.operators import quality
 from tenura.plans import models, warehouse
+from tenura.plans.dimensions import NO_MANAGER
 from tenura.settings import new_path
 from workload.registry import query
 from workload.roles import AS_OF
@@ -346,6 +347,17 @@ def _source_rows():
             yield table, "not_null", column, count_where(role, f"{column} IS NULL")
         for column, parent, parent_key in parents.get(table, []):
             yield table, "references", column, orphans(role, column, parent, parent_key)
+    lengths = {
+        "departments": "department_name:100 location:100",
+        "employees": "first_name:50 last_name:50 email:100 job_title:100 status:20",
+        "salaries": "currency:3",
+        "projects": "project_name:200 status:20",
+        "employee_projects": "role:100",
+        "leave_requests": "leave_type:50 status:20",
+    }
+    for table, role, _ in keys:
+        for column, limit in (item.split(":") for item in lengths.get(table, "").split()):
+            yield table, "max_length", column, count_where(role, f"length({column}) > {limit}")
     yield "employees", "unique", "email", repeated("employees", "email")
     pair = "employee_id,project_id"
     yield "employee_projects", "unique", pair, repeated("assignments", pair)
@@ -361,6 +373,42 @@ def _(r):
     return warehouse.source_checks(r.source)
 
 
+@query(
+    "dq_max_length",
+    "",
+    lines(
+        ("documents", "max_length", "text", count_where("documents", "length(text) > 2000")),
+        ("part", "max_length", "p_name", count_where("part", "length(p_name) > 10")),
+    ),
+)
+def _(r):
+    return quality.combine(
+        [
+            quality.row_checks(r.table("documents"), "documents", [quality.max_length("text", 2000)]),
+            quality.row_checks(r.table("part"), "part", [quality.max_length("p_name", 10)]),
+        ]
+    )
+
+
+@query(
+    "dq_warehouse_failures",
+    "employees departments salaries",
+    """SELECT 'fact_employee_snapshot' AS "table", 'references' AS "check", 'department_key' AS columns,
+    count(*) AS failing_rows
+    FROM employees e JOIN departments d USING (department_id)
+    LEFT JOIN (SELECT employee_id FROM salaries WHERE end_date IS NULL) USING (employee_id)
+    WHERE d.manager_id IS NULL""",
+)
+def _(r):
+    """The failing constraints of the loaded warehouse when departments without a manager are missing from it."""
+    loaded = warehouse.build_warehouse(
+        r.spark, r.source, new_path(r.spark, "warehouse"), AS_OF, 1995, 2002, minimum_rows={"dim_date": 365}
+    )
+    managed = loaded["dim_department"].filter(F.col("manager_name") != NO_MANAGER)
+    report = warehouse.warehouse_checks({**loaded, "dim_department": managed})
+    return report.filter(~F.col("passed")).select("table", "check", "columns", "failing_rows")
+
+
 @query(
     "dq_failing_checks",
     "reviews employees",
