@@ -32,9 +32,9 @@ def average_rating(reviews: DataFrame, key: str = "employee_id", out: str = "avg
 
 
 def distinct_pairs(df: DataFrame, pair: list[str], keep_first_by: str) -> DataFrame:
-    """One row per pair: the one with the lowest ``keep_first_by``."""
-    rest = [c for c in df.columns if c not in pair]
-    first = F.min_by(F.struct(*rest), F.col(keep_first_by)).alias("_first")
+    """One row per pair: the one with the lowest ``keep_first_by``, ties by the other columns."""
+    rest = [c for c in df.columns if c not in pair and c != keep_first_by]
+    first = F.min(F.struct(keep_first_by, *rest)).alias("_first")
     return df.groupBy(*pair).agg(first).select(*pair, "_first.*").select(*df.columns)
 
 
