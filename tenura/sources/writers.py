@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,14 +54,25 @@ def read_warehouse(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 def export_csv(df: DataFrame, path: str, one_file_rows: int = 0) -> str:
     """Write CSV with a header as distributed part files.
 
-    A report counted to have at most ``one_file_rows`` rows becomes one file.
+    With ``one_file_rows``, a report found to have at most that many rows
+    becomes one file; it is kept on disk meanwhile, so it is computed once.
     """
-    if one_file_rows and df.limit(one_file_rows + 1).count() <= one_file_rows:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    if not one_file_rows:
+        _write_csv(df, path)
+        return path
+    kept = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        small = kept.limit(one_file_rows + 1).count() <= one_file_rows
+        _write_csv(kept.coalesce(1) if small else kept, path)
+    finally:
+        kept.unpersist()
     return path
 
 
+def _write_csv(df, path):
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def export_tables(tables: dict[str, DataFrame], directory: str) -> dict[str, str]:
     return {name: export_csv(df, f"{directory}/{name}") for name, df in tables.items()}
 
