@@ -14,12 +14,15 @@ STAR_SCD2 = SCD2.format(effective="2015-01-01")
 BUILD_SCD2 = SCD2.format(effective=AS_OF)
 
 FACT = """
-  SELECT e.employee_id + 1 AS employee_key, CAST(e.department_id + 1 AS BIGINT) AS department_key,
-         20020101 AS date_key, 1 AS project_key,
+  SELECT employee_key, department_key, 20020101 AS date_key, 1 AS project_key,
          CAST(coalesce(amount, 0) AS DOUBLE) AS salary_amount, coalesce(rating, 0) AS performance_rating,
          CAST(coalesce(days, 0) AS INTEGER) AS leave_days_taken, CAST(coalesce(n, 0) AS INTEGER) AS project_count,
          status = 'active' AS is_active
-  FROM employees e
+  FROM employees
+  LEFT JOIN (SELECT employee_id, row_number() OVER (ORDER BY employee_id) AS employee_key FROM employees)
+    USING (employee_id)
+  LEFT JOIN (SELECT department_id, row_number() OVER (ORDER BY department_id) AS department_key FROM departments)
+    USING (department_id)
   LEFT JOIN (SELECT employee_id, amount FROM {salaries} WHERE end_date IS NULL) USING (employee_id)
   LEFT JOIN ({ratings}) USING (employee_id)
   LEFT JOIN (SELECT employee_id, sum(end_date - start_date) AS days FROM leaves
@@ -210,7 +213,7 @@ def _(r):
 
 @query(
     "fact_snapshot",
-    "employees salaries reviews leaves assignments",
+    "employees departments salaries reviews leaves assignments",
     FACT.format(salaries="salaries", ratings=LATEST),
 )
 def _(r):
@@ -219,7 +222,7 @@ def _(r):
 
 @query(
     "fact_snapshot_avg_rating",
-    "employees loose_salaries reviews leaves assignments",
+    "employees departments loose_salaries reviews leaves assignments",
     FACT.format(salaries="loose_salaries", ratings=MEAN),
 )
 def _(r):

@@ -20,7 +20,7 @@ from tenura.sources.readers import read_parquet
 AS_OF = "2002-01-01"
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+_STORED_SALARIES: dict[tuple[str, str], DataFrame] = {}
 
 
 class Roles:
@@ -89,13 +89,10 @@ class Roles:
         """
         if is_small(self.salary_rows):
             return self._closed_salaries()
-        return self._stored("salaries", self._closed_salaries)
-
-    def _stored(self, label: str, build) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.directory, label)
-        if key not in _STORED:
-            _STORED[key] = materialize(build(), label)
-        return _STORED[key]
+        key = (self.spark.sparkContext.applicationId, self.directory)
+        if key not in _STORED_SALARIES:
+            _STORED_SALARIES[key] = materialize(self._closed_salaries(), "salaries")
+        return _STORED_SALARIES[key]
 
     def _closed_salaries(self) -> DataFrame:
         return close_history(self.salary_rows, "employee_id", "effective_date", "salary_id")
@@ -167,12 +164,7 @@ class Roles:
 
     @cached_property
     def assignments(self) -> DataFrame:
-        """One row per pair; stored once per session when large, like the salaries."""
-        if is_small(self.table("lineitem")) and is_small(self.table("orders")):
-            return self._distinct_work()
-        return self._stored("assignments", self._distinct_work)
-
-    def _distinct_work(self) -> DataFrame:
+        """One row per pair; a query that only counts pairs plans as a plain distinct."""
         return distinct_pairs(self.work, ["employee_id", "project_id"], "emp_project_id")
 
     @property
