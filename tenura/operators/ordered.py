@@ -69,7 +69,10 @@ def over_groups(
 def number_rows(
     df: DataFrame, order: list[str], out: str, limits: Limits | None = None
 ) -> DataFrame:
-    """Dense 1..n over the whole frame in ascending ``order``."""
+    """Dense 1..n over the whole frame in ascending ``order``.
+
+    ``order`` should be unique: equal rows can not be spread over the sort.
+    """
     if is_small(df, limits):
         return df.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("bigint"))
     numbered = _with_global_position(_sorted_slices(df, order))

@@ -42,12 +42,13 @@ def fact_employee_snapshot(
     rating: str = "latest",
     project_key: int = 1,
     limits: Limits | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per employee and open salary, keyed by the dimension keys.
 
     ``leaves`` are the extracted approved leaves; ``rating`` is 'latest' or
     'avg'. The key maps hold (employee_id, employee_key) and (department_id,
-    department_key).
+    department_key). ``carry`` names salary columns to keep beside the fact's.
     """
     if rating == "latest":
         ratings = latest_rating(reviews)
@@ -55,7 +56,7 @@ def fact_employee_snapshot(
         ratings = average_rating(reviews, out="performance_rating")
     else:
         raise ValueError(f"rating must be 'latest' or 'avg', not {rating!r}")
-    open_salaries = current_rows(salaries).select("employee_id", F.col("amount").alias("salary_amount"))
+    open_salaries = current_rows(salaries).select("employee_id", F.col("amount").alias("salary_amount"), *carry)
     per_employee = (
         employees.select("employee_id", "department_id", "status")
         .join(ratings, "employee_id", "left")
@@ -74,6 +75,7 @@ def fact_employee_snapshot(
         F.coalesce("leave_days_taken", F.lit(0)).cast("int").alias("leave_days_taken"),
         F.coalesce("project_count", F.lit(0)).cast("int").alias("project_count"),
         equals_flag("status", "active").alias("is_active"),
+        *carry,
     )
 
 

@@ -35,6 +35,7 @@ def star_schema(
     end_year: int = 2026,
     rating: str = "latest",
     limits: Limits | None = None,
+    carry: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """The five dimensions with surrogate keys and the fact that refers to them.
 
@@ -55,6 +56,7 @@ def star_schema(
         as_of,
         rating,
         limits=limits,
+        carry=carry,
     )
     return {
         "dim_date": dimensions.dim_date(spark, start_year, end_year),
@@ -81,10 +83,12 @@ def build_warehouse(
     limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
     """Extract, transform, load with a full refresh, validate; returns the loaded tables."""
-    tables = star_schema(spark, extract_all(source), source, as_of, start_year, end_year, limits=limits)
-    fact_order = ["employee_key", "department_key", "salary_amount"]
+    tables = star_schema(
+        spark, extract_all(source), source, as_of, start_year, end_year, limits=limits, carry=("salary_id",)
+    )
+    # the salary id makes the order unique, so that the rows of one employee spread over the sort
     tables["fact_employee_snapshot"] = number_rows(
-        tables["fact_employee_snapshot"], fact_order, "snapshot_id", limits
+        tables["fact_employee_snapshot"], ["employee_key", "salary_id"], "snapshot_id", limits
     )
     load_warehouse(tables, directory)
     loaded = read_warehouse(spark, directory)
