@@ -161,7 +161,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _rest_pairs(limit: int, percent: int):
     """Of two blocks of a bucket, the pairs in different components that the long signatures do not rule out."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(rows), LONG)
         ids, roots, sizes, blocks = (rows[c].to_numpy() for c in ("id", "root", "n", "block"))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.llm import fingerprints, licenses, line_dedup, mixing, near_dedup, packing, pseudonyms, quality
+from tenura.llm import (
+    ann,
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pseudonyms,
+    quality,
+    substring_dedup,
+)
 from tenura.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +136,15 @@ FROM documents d JOIN copies c ON d.doc_id IS NOT DISTINCT FROM c.doc_id
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(table, F.col("vec_id") % 50 == 0)
