@@ -10,7 +10,7 @@ pairs are filtered by a longer signature and confirmed on the full sets.
 Equal sets count once. To see the components, not every pair of a bucket has to
 be looked at: first all members are compared with the bucket's most central
 one, then only those pairs that the links found so far leave in different
-components, in blocks of bounded size.
+components, in blocks of bounded size, of which only the links come out.
 """
 
 from __future__ import annotations
@@ -158,23 +158,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(F.pandas_udf(_linked(percent), "boolean")("of_a", "of_b")).select("a", "b")
 
 
-def _rest_pairs(limit: int, percent: int):
-    """Of two blocks of a bucket, the pairs in different components that the long signatures do not rule out."""
+def _masks() -> list[tuple[int, int]]:
+    """(chunk, bits kept) of each key, in the order of the tags."""
+    return [(c, ~(0xFFFF << (16 * j)) & (2**64 - 1)) for c in range(CHUNKS) for j in range(CHUNK)]
+
+
+def _rest_links(limit: int, percent: int):
+    """Of two blocks of a bucket, confirmed links that join components.
+
+    A pair is looked at in the first bucket it shares, if its documents are in
+    different components by then and the long signatures do not rule it out,
+    the likeliest pairs first. The links join components one by one, so there
+    are fewer of them than documents.
+    """
+    masks = [(c, np.uint64(m)) for c, m in _masks()]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id")
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint8).reshape(len(rows), LONG)
+        chunks = rows[[f"chunk{c}" for c in range(CHUNKS)]].to_numpy(np.int64).view(np.uint64)
         ids, roots, sizes, blocks = (rows[c].to_numpy() for c in ("id", "root", "n", "block"))
-        one, other = blocks == rows["first"].iloc[0], blocks == rows["second"].iloc[0]
-        found = []
+        members, unpacked = rows["members"].tolist(), {}
+        first, second, tag = rows["first"].iloc[0], rows["second"].iloc[0], rows["tag"].iloc[0]
+        one, other = blocks == first, blocks == second
+        parts = []
         for i in np.flatnonzero(one):
             near = other & (roots != roots[i])
-            if rows["first"].iloc[0] == rows["second"].iloc[0]:
+            if first == second:
                 near &= ids > ids[i]
             near &= np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent
             at = np.flatnonzero(near)
-            at = at[(signature[at] != signature[i]).sum(1) <= limit]
-            found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in at]
+            unequal = (signature[at] != signature[i]).sum(1)
+            at, unequal = at[unequal <= limit], unequal[unequal <= limit]
+            differ = chunks[at] ^ chunks[i]
+            met = np.zeros(len(at), bool)
+            for c, mask in masks[:tag]:
+                met |= (differ[:, c] & mask) == 0
+            parts.append(np.c_[unequal[~met], np.full((~met).sum(), i), at[~met]])
+        pairs = np.concatenate(parts) if parts else np.empty((0, 3), np.int64)
+        parent = {r: r for r in roots.tolist()}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def full(i: int) -> np.ndarray:
+            if i not in unpacked:
+                unpacked[i] = _unpack(members[i])
+            return unpacked[i]
+
+        found = []
+        for _, i, j in pairs[np.argsort(pairs[:, 0], kind="stable")].tolist():
+            a, b = root(int(roots[i])), root(int(roots[j]))
+            if a != b:
+                x, y = full(i), full(j)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    parent[a] = b
+                    found.append((ids[i], ids[j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
@@ -182,16 +225,13 @@ def _rest_pairs(limit: int, percent: int):
 
 def _buckets(classes: DataFrame) -> DataFrame:
     """(tag, rest, id): each signature under each chunk with one symbol left out."""
-    keys = []
-    for c in range(CHUNKS):
-        for j in range(CHUNK):
-            mask = ~(0xFFFF << (16 * j)) & (2**64 - 1)
-            mask -= 2**64 if mask >= 2**63 else 0
-            keys.append(
-                F.struct(
-                    F.lit(c * CHUNK + j).cast("byte").alias("tag"), F.col(f"chunk{c}").bitwiseAND(F.lit(mask)).alias("rest")
-                )
-            )
+    keys = [
+        F.struct(
+            F.lit(tag).cast("byte").alias("tag"),
+            F.col(f"chunk{c}").bitwiseAND(F.lit(mask - 2**64 if mask >= 2**63 else mask)).alias("rest"),
+        )
+        for tag, (c, mask) in enumerate(_masks())
+    ]
     return classes.select("id", F.explode(F.array(*keys)).alias("key")).select("key.tag", "key.rest", "id")
 
 
@@ -209,6 +249,7 @@ def _links(classes: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
         texts.join(central.select("id"), "id", "left_semi").select("id", "body").mapInArrow(_full_sets(words), _SETS), "sets"
     )
     limit = most_different(percent)
+    chunks = [f"chunk{c}" for c in range(CHUNKS)]
     marks = sets.select("id", "n", "signature")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -236,16 +277,13 @@ def _links(classes: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     blocked = (
         rooted.join(open_buckets, ["tag", "rest"])
-        .join(marks, "id")
-        .select("tag", "rest", "id", "root", "n", "signature", "blocks", block.alias("block"))
+        .join(sets.join(classes.select("id", *chunks), "id"), "id")
+        .select("tag", "rest", "id", "root", "n", "signature", "members", *chunks, "blocks", block.alias("block"))
         .withColumn("partner", partner)
         .withColumns({"first": F.least("block", "partner"), "second": F.greatest("block", "partner")})
     )
-    rest = (
-        blocked.groupBy("tag", "rest", "first", "second").applyInPandas(_rest_pairs(limit, percent), "a long, b long").distinct()
-    )
-    second = materialize(_confirmed(rest, sets, percent), "links")
-    return first.unionAll(second)
+    second = blocked.groupBy("tag", "rest", "first", "second").applyInPandas(_rest_links(limit, percent), "a long, b long")
+    return first.unionAll(materialize(second, "links"))
 
 
 def near_components(
