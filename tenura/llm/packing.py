@@ -31,11 +31,11 @@ from tenura.settings import materialize
 CAPACITY = 4096
 END = 1
 
-#: size classes: each reaches down to half of the one before, the last to 1 token
-CLASSES = 7
+#: the lower ends of the size classes below half a sequence, as parts of the capacity
+CLASSES = (8, 32, 128)
 
 #: a class sweeps on while a step places at least this share of its open pieces
-PROGRESS = 0.005
+PROGRESS = 0.02
 
 _PIECES = "key long, id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
@@ -292,7 +292,7 @@ def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
     placed, gaps = [first], first.where("open > 0")
     small = materialize(lengths.where(F.col("size") <= bound), "small")
-    limits = [capacity >> k for k in range(2, CLASSES + 1)] + [0]
+    limits = [capacity // part for part in CLASSES] + [0]
     level = F.lit(len(limits) - 1)
     for k in reversed(range(len(limits) - 1)):
         level = F.when(F.col("size") > limits[k], k).otherwise(level)
