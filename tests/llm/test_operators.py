@@ -1,0 +1,401 @@
+"""Each operator against brute force on a small table of awkward documents."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tenura.llm import (
+    ann,
+    components,
+    fingerprints,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pseudonyms,
+    quality,
+    substring_dedup,
+)
+from tenura.llm.queries import vocabulary
+from tenura.llm.text import ascii_words, lower_ascii
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, id string, row int, lines int, kept boolean,"
+    " copy int, version string, spans string, n_dropped long, n_words long, result string, body string, seq long"
+)
+RANDOM = random.Random(5)
+VOCABULARY = ["".join(RANDOM.choices("abcdefghijklmnop", k=RANDOM.randint(1, 8))) for _ in range(400)]
+
+
+def prose(n: int, seed: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choices(VOCABULARY, k=n))
+
+
+def awkward() -> list[tuple[int | None, str | None]]:
+    """(doc_id, text): copies, near copies, shared lines and passages, null, empty, very long, unusual characters."""
+    base, passage = prose(160, 1), prose(70, 2)
+    texts: list[str | None] = [base, base, base + " tail", base.replace(VOCABULARY[3], "x"), base.upper()]
+    for k in range(8):
+        words = base.split(" ")
+        for at in random.Random(k).sample(range(len(words)), k % 3 + 1):
+            words[at] = f"new{k}"
+        texts.append(" ".join(words))
+    texts += [f"{prose(30, 100 + k)} {passage} {prose(20, 200 + k)}" for k in range(6)]
+    texts += [f"{prose(12, 300 + k)}\n  Shared Line\t\n\n{prose(9, 400 + k)}\nshared line" for k in range(12)]
+    texts += [None, "", " ", "\n\n", "a", "Ωμέγα Σ ß ﬁ İ", "é́e  x　y  ", "one two three four", "one two three four"]
+    texts += [prose(30_000, 9), "ab " * 5000, "token = \"0123456789abcdef0123456789abcdef\" 4111 1111 1111 1111 on 2021-02-28"]
+    return [(3 * k + 1, t) for k, t in enumerate(texts)] + [(None, prose(40, 7)), (None, None)]
+
+
+def extra(row: tuple[int | None, str | None]) -> tuple:
+    key, text = row
+    source = None if key is None else f"s{key % 4}"
+    return (key, text, "en" if key else None, source, len(text or ""), "i", 1, 2, False, 3, "v", None, 9, 9, "r", "b", 5)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame([extra(r) for r in awkward()], SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def by_id(rows, *columns):
+    return Counter((r["doc_id"], *[r[c] for c in columns]) for r in rows)
+
+
+def test_lines(docs, empty):
+    rows = line_dedup.drop_frequent_lines(docs).select("doc_id", "text", F.col("n_lines"), docs.columns[4]).collect()
+    keys = defaultdict(set)
+    strip = lambda line: lower_ascii(line.strip(" \t\n\x0b\x0c\r"))
+    for key, text in awkward():
+        for line in (text or "").split("\n"):
+            keys[strip(line)].add(key)
+    want = Counter()
+    for key, text in awkward():
+        lines = (text or "").split("\n")
+        left = [line for line in lines if not (strip(line) and len(keys[strip(line)]) >= 10)]
+        want[key, "\n".join(left), len(lines), len("\n".join(left))] += 1
+    assert Counter(map(tuple, rows)) == want
+    assert any("hared" not in t and n == 5 for _, t, n, _ in want)
+    cut = line_dedup.drop_frequent_lines(empty)
+    assert cut.columns[-2:] == ["n_lines", "n_dropped"] and cut.columns[:-2] == empty.columns and not cut.collect()
+
+
+def test_rows_repeating_an_id_keep_their_own_lines(spark):
+    rows = [(1, "a\nb"), (1, "b\na\nc"), (2, "a"), (1, "a\nb")]
+    cut = line_dedup.drop_frequent_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=2)
+    assert sorted(r["text"] for r in cut.collect()) == ["", "b", "b", "b\nc"]
+
+
+def test_windows(docs, empty):
+    rows = substring_dedup.remove_repeats(docs)
+    got = Counter((r[0], r[1], r[-3], r[-2]) for r in rows.collect())
+    bodies = [(k if k is not None else 2**63, k, ascii_words(t)) for k, t in awkward()]
+    first: dict[tuple, int] = {}
+    for order, _, words in sorted(bodies, key=lambda b: b[0]):
+        for i in range(len(words) - 49):
+            first.setdefault(tuple(words[i : i + 50]), order)
+    want = Counter()
+    for order, key, words in bodies:
+        gone = {j for i in range(len(words) - 49) if first[tuple(words[i : i + 50])] < order for j in range(i, i + 50)}
+        want[key, " ".join(w for j, w in enumerate(words) if j not in gone), len(words), len(gone)] += 1
+    assert got == want and sum(n for *_, n in want) > 500
+    assert not substring_dedup.remove_repeats(empty).collect()
+
+
+def test_shards_split_hot_marks(docs, monkeypatch):
+    want = Counter((r[0], r[1], r[-2]) for r in substring_dedup.remove_repeats(docs).collect())
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 100)
+    assert Counter((r[0], r[1], r[-2]) for r in substring_dedup.remove_repeats(docs).collect()) == want
+
+
+def shingle_sets(rows):
+    for key, text in rows:
+        words = ascii_words(lower_ascii(text or ""))
+        yield key, frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_copies(docs, empty, percent):
+    sets = [(k, s) for k, s in shingle_sets(awkward()) if k is not None]
+    parent = {k: k for k, _ in sets}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a, x in sets:
+        for b, y in sets:
+            if a < b and x and 100 * len(x & y) >= percent * len(x | y):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    want = {k: (len(s), root(k), root(k) == k) for k, s in sets}
+    rows = near_dedup.near_components(docs, percent).where("doc_id is not null").collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want
+    assert near_dedup.near_components(empty).collect() == []
+
+
+def test_all_pairs_that_the_pivot_leaves(spark, monkeypatch):
+    """A chain of near copies whose ends are far apart, in blocks of two."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    words = prose(200, 11).split(" ")
+    rows = [(k, " ".join([f"w{i}" if i < 3 * k else w for i, w in enumerate(words)])) for k in range(20)]
+    got = near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 480)]
+    links += [(5, 5), (1000, 900)]
+    parent = {x: x for pair in links for x in pair}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    got = components.components(spark.createDataFrame(links, "a long, b long"))
+    assert dict(map(tuple, got.collect())) == {x: root(x) for x in parent if root(x) != x}
+
+
+def test_packing(docs, empty):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    want = Counter()
+    for key, text in awkward():
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        for k in range(0, len(ids), 512):
+            own = ids[k : k + 512]
+            want[key, k // 512, k, len(own), zlib.crc32(np.array(own, "<u4").tobytes()), tuple(own)] += 1
+    rows = packing.pack(docs, vocabulary(), 512, ids=True).collect()
+    assert Counter((r[0], r[1], r[2], r[3], r[4], tuple(r["ids"])) for r in rows) == want
+    places = defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in places.values():
+        ends = np.cumsum([0, *[n for _, n in sorted(own)]])
+        assert [o for o, _ in sorted(own)] == ends[:-1].tolist() and ends[-1] <= 512
+    assert len(places) <= 1.05 * sum(r["length"] for r in rows) / 512 + 2
+    assert not packing.pack(empty, vocabulary()).collect()
+
+
+def test_packing_many_equal_sizes(spark):
+    rng = random.Random(1)
+    sizes = [100] * 700 + [rng.randint(1, 1000) for _ in range(1500)]
+    lengths = spark.createDataFrame(list(enumerate(sizes)), "key long, size int")
+    rows = packing.place(lengths, 1000).collect()
+    used = defaultdict(int)
+    for r in rows:
+        used[r["seq"]] += sizes[r["key"]]
+    assert len(rows) == len(sizes) and max(used.values()) <= 1000 and len(used) <= 1.03 * sum(sizes) / 1000 + 1
+
+
+def test_fingerprints(docs, empty):
+    rows = {r["doc_id"]: r for r in fingerprints.fingerprint_successors(docs.where("doc_id is not null")).collect()}
+    order = sorted(((k, t or "") for k, t in awkward() if k is not None), reverse=True)
+    for (key, text), (after, later) in zip(order, order[1:] + order[:1], strict=True):
+        n = len(text)
+        edited = text[: n - n // 3] + later[: n // 3]
+        row = rows[key]
+        assert row["n_chars"] == n and row["next_id"] == after
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        common = next((i for i, (a, b) in enumerate(zip(text, later, strict=False)) if a != b), min(n, len(later)))
+        assert row["common_next"] == common and 0 <= row["near_next"] <= 1
+        # two thirds stay; one block of eight or more can be cut by the edit
+        assert row["near_edited"] >= 2 / 3 - 1 / 8 - 0.01 or n < 3 or len(later) < n // 3
+        assert (row["fingerprint"] == row["edited_fingerprint"]) == (text == edited)
+    assert len(fingerprints.fingerprint_successors(docs).collect()) == len(awkward())
+    assert not fingerprints.fingerprint_successors(empty).collect()
+
+
+def test_span_equality():
+    text = fingerprints.PrefixHashes("abcabcabd")
+    assert text.span(0, 3) == text.span(3, 3) != text.span(6, 3)
+    assert text.common(text, 0, 3) == 5
+
+
+CLEAN = "Version 1.2.3 of 2021, 4111 1111 1111 1112 and 300.1.2.3, 13/13/2020, 000-12-3456."
+PRIVATE = {
+    "4111 1111 1111 1111": r"\d{4} \d{4} \d{4} \d{4}",
+    "GB82 WEST 1234 5698 7654 32": r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d",
+    "2021-02-28": r"\d{4}-\d\d-\d\d",
+    "28.02.2021": r"\d\d\.\d\d\.\d{4}",
+    "12/31/1999": r"\d\d/\d\d/\d{4}",
+    "123-45-6789": r"\d{3}-\d\d-\d{4}",
+    "192.168.7.1": r"\d+\.\d+\.\d+\.\d+",
+    "+1 (974) 555-3436": r"\+1 \(\d{3}\) \d{3}-\d{4}",
+    "Anna.Lee78@mail6.example.com": r"[A-Z][a-z]{3}\.[A-Z][a-z]{2}\d\d@mail6\.example\.com",
+}
+
+
+def luhn(digits):
+    return sum(d if k % 2 == 0 else sum(divmod(2 * d, 10)) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def test_pseudonyms(spark, docs, empty):
+    rows = [(k, f"Call {v}, {v} or {v}. {CLEAN}") for k, v in enumerate(PRIVATE)] + [(90, CLEAN), (91, None), (92, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pseudonyms.pseudonymize(table, "key").collect()}
+    assert [got[k]["text"] for k in (90, 91, 92)] == [CLEAN, None, ""] and got[90]["n_private"] == 0
+    for k, (value, form) in enumerate(PRIVATE.items()):
+        new = re.fullmatch(rf"Call ({form}), \1 or \1\. {re.escape(CLEAN)}", got[k]["text"])
+        assert new and new[1] != value and got[k]["n_private"] == 3, got[k]
+    card = re.sub(r"\D", "", got[0]["text"][5:24])
+    assert luhn(card)
+    iban = got[1]["text"][5:32].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    other = pseudonyms.pseudonymize(table, "other").where("doc_id = 0").first()["text"]
+    assert other != got[0]["text"]
+    assert pseudonyms.pseudonymize(docs, "key").count() == len(awkward()) and not pseudonyms.pseudonymize(empty, "key").collect()
+
+
+def feistel(values, radices, key, kind):
+    n, half = len(values), len(values) // 2
+    for i in range(pseudonyms.ROUNDS):
+        left = i % 2 == 0
+        fixed = values[half:] if left else values[:half]
+        digest = hashlib.sha512(f"{key}:{kind}:{i}:{n}:{','.join(map(str, fixed))}".encode()).hexdigest()
+        values = [
+            (x + int(digest[4 * (j if left else j - half) :][:4], 16)) % radices[j] if (j < half) == left else x
+            for j, x in enumerate(values)
+        ]
+    return values
+
+
+def test_permutation_is_the_feistel_network_and_bijective(spark):
+    table = spark.range(900).select(
+        F.array((F.col("id") / 30).cast("int"), (F.col("id") % 30).cast("int")).alias("v"),
+        F.array(F.lit(30), F.lit(30)).alias("r"),
+    )
+    rows = table.select("v", pseudonyms.permute(F.col("v"), F.col("r"), "k", F.lit("t")).alias("p")).collect()
+    assert all(r["p"] == feistel(r["v"], [30, 30], "k", "t") for r in rows)
+    assert len({tuple(r["p"]) for r in rows}) == 900
+
+
+def test_quality(spark, docs, empty):
+    rng = random.Random(2)
+    good = [(k, prose(rng.randint(20, 80), k), f"s{k % 7}", "en") for k in range(300)]
+    bad = [(1000 + k, "*** ".join(prose(40, k).upper().split()) + "!!", f"s{k % 7}", "de") for k in range(60)]
+    table = spark.createDataFrame([*good, *bad, (5000, None, None, None), (5001, "", "s1", "en")], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(k, int(k < 1000)) for k in [*range(0, 300, 2), *range(1000, 1060, 2)]] + [(None, None)], "doc_id long, quality int")
+    rows = quality.quality_posterior(table, labels).collect()
+    assert {r["doc_id"] for r in rows if r["keep"] and r["text"]} == set(range(300))
+    assert all(0 < r["posterior"] < 1 for r in rows)
+    assert quality.quality_posterior(docs, labels.limit(0)).where("keep").count() == len(awkward())
+    assert not quality.keep_good(empty, labels).collect()
+
+
+def test_sparse_sites_are_shrunk(spark):
+    votes = [("big", "a", 1.0)] * 90 + [("big", "b", 0.1)] * 90 + [("tiny", "a", 0.0)]
+    priors, mean = quality.site_priors(spark.createDataFrame(votes, "host string, path string, vote double"))
+    rows = {(r["host"], r["path"]): r for r in priors.collect()}
+    assert rows["tiny", "a"]["host_mean"] > 0.2 and 0.4 < mean < 0.7
+
+
+def test_licenses(spark, docs, empty):
+    mit = next(t for n, t in licenses.KNOWN_TEXTS if n == "MIT")
+    bsd = next(t for n, t in licenses.KNOWN_TEXTS if n == "BSD-3-Clause")
+    rows = [
+        (1, "Copyright (c) 2020 A. Person\n\n" + mit.upper().replace("SUBLICENSE", "SUB-LICENSE")),
+        (2, prose(20, 1) + "\n\n" + bsd + "\n\n" + prose(5, 2)),
+        (3, prose(9, 3) + "\nReleased  under the MIT Licence!\n"),
+        (4, "We like software and the MIT License."),
+        (5, None), (6, ""), (3, prose(9, 3) + "\nReleased  under the MIT Licence!\n"),
+    ]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], tuple(r["licenses"]), r["whole_text"]) for r in got) == Counter(
+        [(1, ("MIT",), True), (2, ("BSD-3-Clause",), False), (3, ("MIT",), False), (3, ("MIT",), False), (4, (), False), (5, (), False), (6, (), False)]
+    )
+    assert licenses.scan_licenses(docs).count() == len(awkward()) and not licenses.scan_licenses(empty).collect()
+
+
+def test_every_known_text_has_a_marker():
+    assert all(any(m in text.lower() for m in licenses.MARKERS) for _, text in licenses.KNOWN_TEXTS)
+
+
+def test_mixing(spark, docs, empty):
+    rates = {r["source"]: r["rate"] for r in mixing.source_rates(docs).collect()}
+
+    def copies(key, source):
+        rate = rates[source]
+        draws = math.ceil(rate / mixing.LARGEST_RATE)
+        total = 0
+        for draw in range(1, draws + 1):
+            digest = hashlib.md5(f"20240229:{'null' if key is None else key}:{draw}".encode()).hexdigest()
+            u, term, below = (int(digest[:13], 16) + 0.5) / 2**52, math.exp(-rate / draws), math.exp(-rate / draws)
+            k = 0
+            while u >= below:
+                k += 1
+                term *= rate / draws / k
+                below += term
+            total += k
+        return total
+
+    want = Counter()
+    for row in awkward():
+        n = copies(row[0], extra(row)[3])
+        want.update((row[0], c) for c in range(1, n + 1))
+    got = mixing.poisson_mix(docs).collect()
+    assert Counter((r["doc_id"], r[-2]) for r in got) == want
+    assert [r["shuffle_key"] for r in got] == sorted(r["shuffle_key"] for r in got)
+    assert not mixing.poisson_mix(empty).collect()
+    assert {r["source"] for r in mixing.poisson_mix(docs, {"s1": 3.0, "s2": 1.0}).collect()} <= {"s1", "s2"}
+
+
+def test_mixture_reaches_its_weights(spark):
+    table = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.lit("word").alias("text"), F.when(F.col("id") < 5000, "a").otherwise("b").alias("source")
+    )
+    rows = mixing.poisson_mix(table, {"a": 1.0, "b": 3.0}).groupBy("source").count().collect()
+    count = dict(map(tuple, rows))
+    assert 0.7 < count["b"] / sum(count.values()) < 0.8 and 5500 < sum(count.values()) < 6500
+
+
+def vectors(n, d=16, seed=0):
+    return np.random.default_rng(seed).normal(size=(n, d)).astype(np.float32)
+
+
+def test_nearest(spark, monkeypatch):
+    monkeypatch.setattr(ann, "PART", 64)
+    x = vectors(600)
+    x[300:420] = x[300]
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    rows += [(9000, None), (9050, [0.0] * 16), (9100, [float("nan")] * 16), (9150, [1.0] * 5), (None, [1.0] * 16), (9200, [None] + [1.0] * 15), (9250, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in ann.nearest(table, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    found = 0
+    wide = x.astype(float)
+    for q in range(0, 600, 50):
+        scores = ann.cosines(wide[q], wide)
+        best = [k for k in np.lexsort((np.arange(600), -scores)) if k != q][:5]
+        found += len({k for k, _ in got[q]} & set(best))
+        assert all(s == scores[k] for k, s in got[q])
+    assert set(got) == set(range(0, 600, 50)) and found / 60 >= 0.9
+    assert [k for k, _ in got[300]] == [301, 302, 303, 304, 305]
+
+
+def test_nearest_few_and_none(spark):
+    schema = "vec_id long, embedding array<double>"
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.9, 0.1]), (2, [0.0, 2.0])], schema)
+    got = ann.nearest(few, F.col("vec_id") == 0).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in got) == [(1, 1), (2, 2)]
+    assert not ann.nearest(few.limit(0), F.col("vec_id") == 0).collect()
+    assert not ann.nearest(few, F.col("vec_id") == 7).collect()

@@ -1,0 +1,45 @@
+"""The bound corpus queries against their SQL or against brute force, and the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from tenura.llm.queries import ORACLES, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_equal_to_sql(spark, name):
+    got = QUERIES[name](spark, FOLDER)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+        columns = ", ".join(got.columns)
+        want = db.execute(f"SELECT {columns} FROM ({ORACLES[name]})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_all_are_there():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    sizes = [docs.count()]
+    stages = [name for name, _ in corpus_pipeline.STAGES]
+    assert stages == ["quality classifier", "line dedup", "MinHash near-dedup", "mixing sources", "best-fit packing"]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns
+        if name == "quality classifier":
+            kept = {r["doc_id"] for r in after.collect()}
+            assert all((k in kept) == bool(q) for k, q in labels.items())
+        docs = after.cache()
+        sizes.append(docs.count())
+    assert sizes[0] > sizes[1] == sizes[2] > sizes[3]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert corpus_pipeline.run(spark, FOLDER).count() == packed.count()
