@@ -37,7 +37,10 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.job == "export":
         jobs.run_export(source, args.target)
     else:
-        jobs.run_checks(source).show(1000, truncate=False)
+        report = jobs.run_checks(source).cache()
+        report.show(report.count(), truncate=False)
+        if not report.filter("not passed").isEmpty():
+            raise SystemExit(1)
 
 
 if __name__ == "__main__":

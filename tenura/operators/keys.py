@@ -56,11 +56,11 @@ def group_leaders(
     group: str,
     member: str,
     leader: str,
-    first_n: int = 20,
+    first_n: int | None = None,
     min_members: int = 2,
     limits: Limits | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The lowest member id leads its group; the next ones, up to ``first_n``, report to it.
+    """The lowest member id leads its group; the others, or the next ones up to ``first_n``, report to it.
 
     Returns (group, leader) for groups with at least ``min_members`` members
     and (member, leader) for the reporting members. The leaders are a partial
@@ -71,9 +71,10 @@ def group_leaders(
     present = df.filter(F.col(group).isNotNull()).select(group, member)
     groups = present.groupBy(group).agg(F.min(member).alias(leader), F.count(member).alias("_members"))
     leaders = groups.filter(F.col("_members") >= min_members).select(group, leader)
-    if first_n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+    if first_n is not None and first_n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         numbered = present.withColumn("_nth", F.row_number().over(W.partitionBy(group).orderBy(member)))
     else:
         numbered = over_groups(present, [group], [member], [RowNumber("_nth")], limits)
-    first = numbered.filter(F.col("_nth") <= first_n).filter(F.col("_nth") > 1)
+    chosen = numbered if first_n is None else numbered.filter(F.col("_nth") <= first_n)
+    first = chosen.filter(F.col("_nth") > 1)
     return leaders, first.join(leaders, group).select(member, leader)

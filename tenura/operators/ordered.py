@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tenura.settings import Limits, is_small, materialize, session_limits
+from tenura.settings import Limits, materialize, session_limits
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id above, row position below
 
@@ -59,6 +59,7 @@ def over_groups(
     ``order`` should end in a unique column, so that the result does not depend
     on the physical order and a hot key can be split anywhere.
     """
+    _check(order, columns)
     hot = hot_keys(df, keys, limits)
     if hot is None:
         return _by_window(df, keys, order, columns)
@@ -66,15 +67,20 @@ def over_groups(
     return _by_window(cold_rows, keys, order, columns).unionByName(_by_slices(hot_rows, keys, order, columns))
 
 
-def number_rows(
-    df: DataFrame, order: list[str], out: str, limits: Limits | None = None
-) -> DataFrame:
+def _check(order, columns) -> None:
+    """Refuse, in every way alike, what the split way can not compute."""
+    for c in columns:
+        if isinstance(c, Neighbour) and c.step not in (-1, 1):
+            raise ValueError(f"{c.out}: a neighbour is one row before or after")
+        if isinstance(c, Rank) and list(c.by) != list(order[: len(c.by)]):
+            raise ValueError(f"{c.out}: rank by the leading columns of the order")
+
+
+def number_rows(df: DataFrame, order: list[str], out: str, limits: Limits | None = None) -> DataFrame:
     """Dense 1..n over the whole frame in ascending ``order``.
 
     ``order`` should be unique: equal rows can not be spread over the sort.
     """
-    if is_small(df, limits):
-        return df.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("bigint"))
     numbered = _with_global_position(_sorted_slices(df, order))
     return numbered.withColumn(out, F.col("_at") + 1).drop("_at", "_slice", "_pos")
 
@@ -86,8 +92,6 @@ def hot_keys(df: DataFrame, keys: list[str], limits: Limits | None = None) -> Da
     the driver and what is broadcast by ``split_by_keys``.
     """
     limits = limits or session_limits(df.sparkSession)
-    if is_small(df, limits):
-        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     found = counts.filter(F.col("_n") > limits.max_group_rows).select(*keys)
     rows = found.collect()

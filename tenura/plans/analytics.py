@@ -233,7 +233,9 @@ def top_earners(
     """
     best = top_n(open_salaries(salaries), n, F.desc("amount"), "employee_id")
     named = lookup_rows(best, employees.select("employee_id", "full_name", "job_title"), "employee_id", "employee_id")
-    return best.join(named, "employee_id", "left").select("employee_id", "full_name", "job_title", "amount")
+    # a join of few rows does not keep their order
+    sorted_rows = best.join(named, "employee_id", "left").orderBy(F.desc("amount"), "employee_id")
+    return sorted_rows.select("employee_id", "full_name", "job_title", "amount")
 
 
 def rating_by_department(employees: DataFrame, reviews: DataFrame, departments: DataFrame) -> DataFrame:

@@ -1,9 +1,8 @@
 """Size limits and the shared working folder.
 
-The operators are lazy and leave the physical plan to Catalyst. Only where one
-key could put an unbounded number of rows into one task do they look at the
-input first: an input whose estimated size is small takes the direct way, a
-larger one is probed for hot keys and those keys take a way that splits them.
+The operators leave the physical plan to Catalyst. Only where one key could
+put an unbounded number of rows into one task do they count the rows of each
+key first; the keys over the limit take a way that splits them.
 """
 
 from __future__ import annotations
@@ -17,39 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Limits:
-    """When to look for, and how to treat, large inputs.
+    """When to split, and when to broadcast.
 
-    small_bytes: an input with at most this estimated size can be sorted or
-        broadcast group by group without any check.
     max_group_rows: rows of one key that a single task may sort; keys with
         more rows are split over many tasks.
     broadcast_rows: row count up to which a counted frame may be broadcast.
     """
 
-    small_bytes: int = 32 * 1024 * 1024
     max_group_rows: int = 5_000_000
     broadcast_rows: int = 500_000
 
 
 def session_limits(spark: SparkSession) -> Limits:
-    """The limits set in the session as spark.tenura.smallBytes, .maxGroupRows and .broadcastRows."""
+    """The limits set in the session as spark.tenura.maxGroupRows and .broadcastRows."""
     default = Limits()
     return Limits(
-        int(spark.conf.get("spark.tenura.smallBytes", str(default.small_bytes))),
         int(spark.conf.get("spark.tenura.maxGroupRows", str(default.max_group_rows))),
         int(spark.conf.get("spark.tenura.broadcastRows", str(default.broadcast_rows))),
     )
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate: file sizes scaled by the columns kept."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame, limits: Limits | None = None) -> bool:
-    return estimated_bytes(df) <= (limits or session_limits(df.sparkSession)).small_bytes
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

@@ -14,8 +14,8 @@ from tenura.functions import dates, names, rules
 from tenura.operators import aggregates, history, joins, keys, quality
 from tenura.settings import Limits, materialize, shared_folder
 
-SPLIT = Limits(small_bytes=0, max_group_rows=2)
-SPLIT_NO_BROADCAST = Limits(small_bytes=0, max_group_rows=2, broadcast_rows=0)
+SPLIT = Limits(max_group_rows=2)
+SPLIT_NO_BROADCAST = Limits(max_group_rows=2, broadcast_rows=0)
 
 
 def values(df, *columns):
@@ -108,7 +108,7 @@ def test_lookup_rows(spark):
 def test_group_leaders_first_n_and_minimum(spark):
     members = [(1, i) for i in range(100, 130)] + [(2, 7)] + [(3, 9), (3, 8)] + [(None, 1), (None, 2)]
     df = spark.createDataFrame(members, "g int, e int")
-    leaders, reporting = keys.group_leaders(df, "g", "e", "m")
+    leaders, reporting = keys.group_leaders(df, "g", "e", "m", first_n=20)
     assert values(leaders, "g", "m") == [(1, 100), (3, 8)]
     assert values(reporting, "e", "m") == sorted(
         [(i, 100) for i in range(101, 120)] + [(9, 8)], key=lambda t: tuple(map(str, t))
@@ -117,7 +117,7 @@ def test_group_leaders_first_n_and_minimum(spark):
 
 def test_group_leaders_beyond_the_group_limit(spark):
     df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id").alias("e"))
-    for limits in (Limits(), Limits(small_bytes=0, max_group_rows=100)):
+    for limits in (Limits(), Limits(max_group_rows=100)):
         _, reporting = keys.group_leaders(df, "g", "e", "m", first_n=1200, limits=limits)
         rows = reporting.collect()
         assert len(rows) == 2 * 1199 and max(r["e"] for r in rows) == 2 * 1200 - 1

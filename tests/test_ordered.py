@@ -13,8 +13,8 @@ from tenura.operators.keys import surrogate_keys, uniquify
 from tenura.operators.ordered import Neighbour, Rank, RowNumber, hot_keys, number_rows, over_groups
 from tenura.settings import Limits
 
-SPLIT = Limits(small_bytes=0, max_group_rows=20)
-SPLIT_ALL = Limits(small_bytes=0, max_group_rows=0)
+SPLIT = Limits(max_group_rows=20)
+SPLIT_ALL = Limits(max_group_rows=0)
 PLAIN = Limits()
 
 
@@ -84,9 +84,9 @@ def test_two_column_keys(frame, rows):
 
 
 def test_hot_keys_finds_only_large_groups(frame):
-    found = hot_keys(frame, ["key"], Limits(small_bytes=0, max_group_rows=100))
+    found = hot_keys(frame, ["key"], Limits(max_group_rows=100))
     assert [r["key"] for r in found.collect()] == [1]
-    assert hot_keys(frame, ["key"], Limits(small_bytes=0, max_group_rows=10_000)) is None
+    assert hot_keys(frame, ["key"], Limits(max_group_rows=10_000)) is None
 
 
 @pytest.mark.parametrize("limits", [PLAIN, SPLIT], ids=["window", "slices"])
@@ -127,3 +127,18 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], "id bigint, key bigint, day int, value int")
     assert over_groups(empty, ["key"], ["day", "id"], [RowNumber("n")], SPLIT).count() == 0
     assert number_rows(empty, ["id"], "n", SPLIT).count() == 0
+
+
+@pytest.mark.parametrize("column", [Neighbour("value", "other", -2), Rank("rank", ("value",))])
+def test_refused_alike_in_every_way(spark, column):
+    frame = spark.createDataFrame([(1, 1, 1)], "key int, day int, value int")
+    for limits in (None, SPLIT, SPLIT_ALL):
+        with pytest.raises(ValueError):
+            over_groups(frame, ["key"], ["day"], [column], limits)
+
+
+def test_hot_key_is_found_whatever_the_estimate(spark, tmp_path):
+    spark.range(200_000).selectExpr("1 AS key", "id").write.parquet(str(tmp_path / "hot"))
+    frame = spark.read.parquet(str(tmp_path / "hot"))
+    found = hot_keys(frame, ["key"], Limits(max_group_rows=100_000))
+    assert [r["key"] for r in found.collect()] == [1]

@@ -89,7 +89,7 @@ def test_aggregates_are_partial_before_the_shuffle(stored):
 
 
 def test_group_members_are_cut_before_the_shuffle(stored):
-    _, reporting = group_leaders(stored["employees"].drop("manager_id"), "department_id", "employee_id", "manager_id")
+    _, reporting = group_leaders(stored["employees"].drop("manager_id"), "department_id", "employee_id", "manager_id", first_n=20)
     assert plan_of(reporting).count("WindowGroupLimit") == 2
 
 

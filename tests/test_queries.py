@@ -49,7 +49,6 @@ SPLIT = [
 @pytest.fixture
 def split_keys(spark):
     settings = {
-        "spark.tenura.smallBytes": "0",
         "spark.tenura.maxGroupRows": "7",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",

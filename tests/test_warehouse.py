@@ -16,7 +16,7 @@ from tenura.settings import Limits
 from tenura.sources import readers, writers
 
 AS_OF = "2024-01-01"
-SPLIT = Limits(small_bytes=0, max_group_rows=0)
+SPLIT = Limits(max_group_rows=0)
 
 
 @pytest.fixture(scope="module")

@@ -279,7 +279,7 @@ def _(r):
     SELECT employee_id, leader AS manager_id FROM numbered WHERE members >= 2 AND nth BETWEEN 2 AND 20""",
 )
 def _(r):
-    _, reporting = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id")
+    _, reporting = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id", first_n=20)
     return reporting
 
 
@@ -292,7 +292,7 @@ def _(r):
       FROM employees GROUP BY 1) USING (department_id)""",
 )
 def _(r):
-    leaders, _ = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id")
+    leaders, _ = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id", first_n=20)
     places = r.departments.select("department_id", "department_name", "manager_id")
     return joins.update_by_key(places, leaders, "department_id", "manager_id")
 
@@ -307,7 +307,7 @@ def _(r):
     FROM employees e JOIN numbered USING (employee_id)""",
 )
 def _(r):
-    _, reporting = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id")
+    _, reporting = keys.group_leaders(r.employees.drop("manager_id"), "department_id", "employee_id", "manager_id", first_n=20)
     people = r.employees.select("employee_id", "manager_id", "job_title")
     return joins.update_by_key(people, reporting, "employee_id", "manager_id")
 
