@@ -17,6 +17,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--target", help="folder to write to")
     p.add_argument("--as-of", help="evaluation date, default today")
+    p.add_argument("--start-year", type=int, default=2015, help="first year of the calendar")
+    p.add_argument("--end-year", type=int, help="last year of the calendar, default 2026 or the year of --as-of if later")
+    p.add_argument("--one-file", action="store_true", help="one CSV file for each report")
     p.add_argument("--database", help="catalog database of the table models")
     return p
 
@@ -29,9 +32,9 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tenura-{args.job}").getOrCreate()
     source = read_source_tables(spark, args.source, args.format)
     if args.job == "warehouse":
-        jobs.run_warehouse(spark, source, args.target, args.as_of)
+        jobs.run_warehouse(spark, source, args.target, args.as_of, args.start_year, args.end_year)
     elif args.job == "analytics":
-        jobs.run_analytics(source, args.target, args.as_of)
+        jobs.run_analytics(source, args.target, args.as_of, args.one_file)
     elif args.job == "models":
         jobs.run_models(spark, source, args.target, args.as_of, args.database)
     elif args.job == "export":

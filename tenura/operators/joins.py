@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenura.operators.ordered import hot_keys, split_by_keys
-from tenura.settings import Limits, session_limits
+from tenura.settings import Limits
 
 
 def fan_out_left(
@@ -25,8 +25,8 @@ def fan_out_left(
     """``left`` outer join ``right`` on ``keys`` where ``right`` may repeat a key.
 
     AQE cannot split the right side of a left outer join. Keys that repeat too
-    often on the right therefore go through an inner join, with the few left
-    rows broadcast if counted small, plus the left rows without a match.
+    often on the right therefore go through an inner join, which it can split
+    on both sides, plus the left rows without a match.
 
     ``counted`` may name a cheaper frame to look for hot keys in, by the
     columns ``count_by`` out of ``keys``; it must have no fewer rows per key
@@ -41,8 +41,6 @@ def fan_out_left(
     cold_right, hot_right = split_by_keys(right, count_by, hot)
     cold = cold_left.join(cold_right, keys, "left")
     unmatched = hot_left.join(hot_right.select(*keys).distinct(), keys, "left_anti")
-    if hot_left.count() <= (limits or session_limits(left.sparkSession)).broadcast_rows:
-        hot_left = F.broadcast(hot_left)
     matched = hot_right.join(hot_left, keys).select(*cold.columns)
     return cold.unionByName(matched).unionByName(unmatched, allowMissingColumns=True)
 

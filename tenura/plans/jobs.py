@@ -10,14 +10,14 @@ from tenura.sources.writers import export_csv, export_tables
 
 
 def run_warehouse(
-    spark: SparkSession, source: dict[str, DataFrame], target: str, as_of=None, start_year=2015, end_year=2026
+    spark: SparkSession, source: dict[str, DataFrame], target: str, as_of=None, start_year=2015, end_year=None
 ) -> dict[str, DataFrame]:
-    """Full refresh of the star schema under ``target``; fails if a table is too small."""
+    """Full refresh of the star schema under ``target``; fails if a table is too small or a key has no parent."""
     return warehouse.build_warehouse(spark, source, target, as_of, start_year, end_year)
 
 
-def run_analytics(source: dict[str, DataFrame], target: str, as_of=None, one_file_rows: int = 100_000) -> dict[str, str]:
-    """Write the three reports as CSV under ``target``; small reports become one file."""
+def run_analytics(source: dict[str, DataFrame], target: str, as_of=None, one_file: bool = False) -> dict[str, str]:
+    """Write the three reports as CSV under ``target``; each as one file if ``one_file``."""
     staff = analytics.enrich_employees(source["employees"], as_of)
     salaries, reviews = source["salaries"], source["performance_reviews"]
     reports = {
@@ -25,7 +25,7 @@ def run_analytics(source: dict[str, DataFrame], target: str, as_of=None, one_fil
         "performance_trends": analytics.performance_trends(staff, reviews),
         "attrition_risk": analytics.attrition_risk(staff, salaries, reviews, source["leave_requests"]),
     }
-    return {name: export_csv(df, f"{target}/{name}", one_file_rows) for name, df in reports.items()}
+    return {name: export_csv(df, f"{target}/{name}", one_file) for name, df in reports.items()}
 
 
 def run_models(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tenura.operators import quality
@@ -26,13 +28,17 @@ from tenura.sources.writers import load_warehouse, read_warehouse
 MINIMUM_ROWS = {"dim_employee": 100, "dim_department": 5, "fact_employee_snapshot": 100, "dim_date": 365}
 
 
+#: the calendar's last year unless the load is later
+LAST_YEAR = 2026
+
+
 def star_schema(
     spark: SparkSession,
     extracts: dict[str, DataFrame],
     source: dict[str, DataFrame],
     as_of=None,
     start_year: int = 2015,
-    end_year: int = 2026,
+    end_year: int | None = None,
     rating: str = "latest",
     limits: Limits | None = None,
     carry: tuple[str, ...] = (),
@@ -40,8 +46,11 @@ def star_schema(
     """The five dimensions with surrogate keys and the fact that refers to them.
 
     Keys are numbered on the bare id columns of ``source``, then looked up by
-    the wide dimensions and the fact alike.
+    the wide dimensions and the fact alike. The calendar ends with ``end_year``,
+    by default with 2026 or the year of ``as_of`` if that is later.
     """
+    if end_year is None:
+        end_year = max(LAST_YEAR, int(str(as_of or datetime.date.today())[:4]))
     employee_keys = surrogate_keys(source["employees"], ["employee_id"], "employee_key", limits)
     department_keys = surrogate_keys(source["departments"], ["department_id"], "department_key", limits)
     project_keys = surrogate_keys(source["projects"], ["project_id"], "project_key", limits)
@@ -78,11 +87,14 @@ def build_warehouse(
     directory: str,
     as_of=None,
     start_year: int = 2015,
-    end_year: int = 2026,
+    end_year: int | None = None,
     minimum_rows: dict[str, int] | None = None,
     limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
-    """Extract, transform, load with a full refresh, validate; returns the loaded tables."""
+    """Extract, transform, load with a full refresh, validate; returns the loaded tables.
+
+    Raises if a table has too few rows or a fact key no row in its dimension.
+    """
     tables = star_schema(
         spark, extract_all(source), source, as_of, start_year, end_year, limits=limits, carry=("salary_id",)
     )
@@ -93,6 +105,7 @@ def build_warehouse(
     load_warehouse(tables, directory)
     loaded = read_warehouse(spark, directory)
     quality.gate(minimum_row_report(loaded, MINIMUM_ROWS if minimum_rows is None else minimum_rows))
+    quality.gate(quality.combine(_key_checks(loaded, "fact_employee_snapshot")))
     return loaded
 
 
@@ -119,6 +132,11 @@ def _table_checks(tables, table):
     rules += [quality.max_length(c, limit) for c, limit in MAX_LENGTHS.get(table, {}).items()]
     if rules:
         reports.append(quality.row_checks(df, table, rules))
-    for column, (parent, key) in FOREIGN_KEYS.get(table, {}).items():
-        reports.append(quality.references(df, tables[parent], column, key, table))
-    return reports
+    return reports + _key_checks(tables, table)
+
+
+def _key_checks(tables, table):
+    return [
+        quality.references(tables[table], tables[parent], column, key, table)
+        for column, (parent, key) in FOREIGN_KEYS.get(table, {}).items()
+    ]

@@ -16,24 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Limits:
-    """When to split, and when to broadcast.
+    """When to split.
 
     max_group_rows: rows of one key that a single task may sort; keys with
         more rows are split over many tasks.
-    broadcast_rows: row count up to which a counted frame may be broadcast.
     """
 
     max_group_rows: int = 5_000_000
-    broadcast_rows: int = 500_000
 
 
 def session_limits(spark: SparkSession) -> Limits:
-    """The limits set in the session as spark.tenura.maxGroupRows and .broadcastRows."""
-    default = Limits()
-    return Limits(
-        int(spark.conf.get("spark.tenura.maxGroupRows", str(default.max_group_rows))),
-        int(spark.conf.get("spark.tenura.broadcastRows", str(default.broadcast_rows))),
-    )
+    """The limits set in the session, as spark.tenura.maxGroupRows."""
+    return Limits(int(spark.conf.get("spark.tenura.maxGroupRows", str(Limits().max_group_rows))))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenura.schemas import SOURCE_TABLES, WAREHOUSE_TABLES, conform, empty_table
+from tenura.schemas import SOURCE_TABLES, WAREHOUSE_TABLES, conform, empty_table, schema_of
 
 LOAD_ORDER = [
     "dim_date",
@@ -48,31 +47,18 @@ def load_warehouse(tables: dict[str, DataFrame], directory: str) -> dict[str, st
 
 
 def read_warehouse(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    return {name: conform(spark.read.parquet(f"{directory}/{name}"), name) for name in LOAD_ORDER}
+    """The loaded tables by their declared schemas, so that tables without rows are read as well."""
+    return {
+        name: conform(spark.read.schema(schema_of(name)).parquet(f"{directory}/{name}"), name) for name in LOAD_ORDER
+    }
 
 
-def export_csv(df: DataFrame, path: str, one_file_rows: int = 0) -> str:
-    """Write CSV with a header as distributed part files.
-
-    With ``one_file_rows``, a report found to have at most that many rows
-    becomes one file; it is kept on disk meanwhile, so it is computed once.
-    """
-    if not one_file_rows:
-        _write_csv(df, path)
-        return path
-    kept = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        small = kept.limit(one_file_rows + 1).count() <= one_file_rows
-        _write_csv(kept.coalesce(1) if small else kept, path)
-    finally:
-        kept.unpersist()
+def export_csv(df: DataFrame, path: str, one_file: bool = False) -> str:
+    """Write CSV with a header as distributed part files; as one file, by one task, only if asked for."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
-def _write_csv(df, path):
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
 def export_tables(tables: dict[str, DataFrame], directory: str) -> dict[str, str]:
     return {name: export_csv(df, f"{directory}/{name}") for name, df in tables.items()}
 

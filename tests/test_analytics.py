@@ -12,7 +12,7 @@ from tenura.plans.dimensions import dim_leave_type
 from tenura.settings import Limits
 
 AS_OF = "2024-01-01"
-MODES = pytest.mark.parametrize("limits", [Limits(), Limits(0, 0), Limits(0, 1)], ids=["plain", "split all", "split"])
+MODES = pytest.mark.parametrize("limits", [Limits(), Limits(0)], ids=["plain", "split"])
 
 
 @pytest.fixture(scope="module")

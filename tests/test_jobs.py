@@ -42,7 +42,8 @@ def test_models_job_fails_on_a_broken_test(spark, folder, tmp_path):
 def test_export_and_checks(spark, folder, tmp_path, capsys):
     main(["export", "--source", folder, "--target", str(tmp_path / "csv")])
     assert spark.read.csv(str(tmp_path / "csv" / "employees"), header=True).count() == 5
-    main(["checks", "--source", folder])
+    with pytest.raises(SystemExit, match="1"):
+        main(["checks", "--source", folder])
     assert "references" in capsys.readouterr().out
     assert jobs.run_checks(company(spark)).filter("not passed").count() == 3
 

@@ -15,7 +15,6 @@ from tenura.operators import aggregates, history, joins, keys, quality
 from tenura.settings import Limits, materialize, shared_folder
 
 SPLIT = Limits(max_group_rows=2)
-SPLIT_NO_BROADCAST = Limits(max_group_rows=2, broadcast_rows=0)
 
 
 def values(df, *columns):
@@ -72,7 +71,7 @@ def test_keyword_band_takes_the_first_in_declared_order(spark):
     assert [tuple(r)[1:] for r in rows] == [(90000, 140000), (55000, 80000), (60000, 100000), (60000, 100000)]
 
 
-@pytest.mark.parametrize("limits", [Limits(), SPLIT, SPLIT_NO_BROADCAST], ids=["plain", "split", "no broadcast"])
+@pytest.mark.parametrize("limits", [Limits(), SPLIT], ids=["plain", "split"])
 def test_fan_out_left_keeps_every_row(spark, limits):
     left = spark.createDataFrame([(i, f"n{i}") for i in range(10)] + [(None, "x")], "k int, name string")
     right = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (77, 8), (None, 9)] + [(None, i) for i in range(9)], "k int, v int")
@@ -202,6 +201,31 @@ def test_scd2_merge_twice_changes_nothing(spark):
     assert current == values(second, "id", "v")
 
 
+def test_scd2_merge_on_the_day_of_a_version_replaces_it(spark):
+    first, second = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(1, "c")], "k int, v string")
+    day = dates.as_of_date("2024-01-01")
+    opened = history.scd2_columns(first, day)
+    merged = history.scd2_merge(opened, second, "k", ["v"], day)
+    assert [(r.k, r.v, str(r.effective_date), r.is_current) for r in merged.collect()] == [(1, "c", "2024-01-01", True)]
+    with pytest.raises(Exception, match="before the start"):
+        history.scd2_merge(opened, second, "k", ["v"], dates.as_of_date("2023-12-31")).collect()
+
+
+def test_latest_by_packed_order_matches_the_struct_order(spark):
+    big = 2**63 - 1
+    rows = [
+        (1, 1, "1960-01-01", big), (1, 2, "1960-01-02", -big - 1), (1, 9, None, big),
+        (2, 3, "2020-01-01", -5), (2, 4, "2020-01-01", 5), (2, 5, "2020-01-01", None),
+        (3, 6, None, None), (3, None, "2024-01-01", 1), (4, None, "2024-01-01", 1),
+    ]
+    df = spark.createDataFrame(rows, "k int, v int, d string, i long").withColumn("d", F.to_date("d"))
+    found = history.latest_by(df, "k", "v", ["d", "i"], "v")
+    assert {tuple(r) for r in found.collect()} == {(1, 2), (2, 4), (3, 6)}
+    plain = history.latest_by(df.withColumn("d", F.col("d").cast("string")), "k", "v", ["d", "i"], "v")
+    assert {tuple(r) for r in plain.collect()} == {(1, 2), (2, 4), (3, 6)}
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("close_missing", [True, False])
 def test_scd2_merge(spark, close_missing):
     old = spark.createDataFrame(

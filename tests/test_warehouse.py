@@ -199,6 +199,20 @@ def test_warehouse_build_load_and_gate(spark, source, tmp_path, limits):
         quality.gate(warehouse.minimum_row_report(again, warehouse.MINIMUM_ROWS))
 
 
+def test_warehouse_of_empty_sources_reaches_the_gate(spark, tmp_path):
+    empty = {table: schemas.empty_table(spark, table) for table in schemas.SOURCE_TABLES}
+    with pytest.raises(ValueError, match="minimum_rows"):
+        warehouse.build_warehouse(spark, empty, str(tmp_path / "w"), "2027-03-01")
+    loaded = writers.read_warehouse(spark, str(tmp_path / "w"))
+    assert loaded["fact_employee_snapshot"].isEmpty()
+    assert loaded["dim_date"].filter("year = 2027").count() == 365
+
+
+def test_warehouse_gates_the_keys_of_the_fact(spark, source, tmp_path):
+    with pytest.raises(ValueError, match="references.date_key"):
+        warehouse.build_warehouse(spark, source, str(tmp_path / "w"), "2024-01-01", 2015, 2020, minimum_rows={"dim_date": 1})
+
+
 def test_models_as_views_tables_and_checks(spark, source, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS mart")
     one_salary = source["salaries"].filter("salary_id <> 3")
@@ -248,8 +262,8 @@ def test_csv_round_trip_with_declared_schema(spark, source, tmp_path):
 
 def test_single_file_report(spark, tmp_path):
     report = spark.range(100).repartition(4)
-    one = writers.export_csv(report, str(tmp_path / "one"), one_file_rows=100)
-    many = writers.export_csv(report, str(tmp_path / "many"), one_file_rows=99)
+    one = writers.export_csv(report, str(tmp_path / "one"), one_file=True)
+    many = writers.export_csv(report, str(tmp_path / "many"))
     parts = lambda p: len([f for f in __import__("os").listdir(p) if f.startswith("part")])
     assert parts(one) == 1 and parts(many) == 4
 

@@ -165,7 +165,7 @@ def _(r):
 )
 def _(r):
     report = staff(r).select("employee_id", "full_name", "tenure_years")
-    path = writers.export_csv(report, new_path(r.spark, "report-csv"), one_file_rows=100_000)
+    path = writers.export_csv(report, new_path(r.spark, "report-csv"), one_file=True)
     return readers.read_csv(r.spark, path, schema=report.schema)
 
 
@@ -247,5 +247,5 @@ def _(r):
 def _(r):
     """A report saved as one CSV file and read back."""
     report = analytics.salary_distribution(r.employees, r.salaries, r.departments)
-    path = writers.export_csv(report, new_path(r.spark, "salary-csv"), one_file_rows=10_000)
+    path = writers.export_csv(report, new_path(r.spark, "salary-csv"), one_file=True)
     return readers.read_csv(r.spark, path, schema=report.schema).select("department_name", "headcount", "avg_salary")
