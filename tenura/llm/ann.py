@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tenura.llm.text import bounded, mix
 from tenura.settings import materialize
 
-TABLES, TARGET, WIDTH, SEED = 6, 0.97, 2.2, 20240229
+TABLES, TARGET, WIDTH, SEED = 3, 0.97, 2.2, 20240229
 
 #: vectors, at most, on which the usual distance of a neighbour is estimated, and queries among them
 SAMPLE, SAMPLE_QUERIES = 20_000, 256
@@ -38,8 +38,9 @@ class Index:
 
     def __init__(self, dimension: int, rows: int, distance: float, tables: int = TABLES, width: float = WIDTH, target: float = TARGET):
         rng = np.random.default_rng(SEED)
-        #: more vectors, more projections: a bucket keeps about the same number of rows
-        self.projections = max(4, round(math.log2(max(rows, 2)) / 1.6))
+        #: comparing a bucket's vectors as one matrix costs far less than visiting another bucket, so
+        #: projections grow slowly with the vectors: far neighbours then need tens of buckets, not thousands
+        self.projections = max(4, round(math.log2(max(rows, 2)) / 4))
         self.tables, self.width, self.target, self.distance = tables, width, target, max(distance, 0.05)
         self.directions = rng.normal(size=(dimension, tables * self.projections))
         self.shifts = rng.uniform(0, width, tables * self.projections)
@@ -263,7 +264,10 @@ def nearest(
     kind = pa.float32() if dict(rows.dtypes)["vector"] == "array<float>" else pa.float64()
     schema = f"bucket long, id long, vector array<{'float' if kind == pa.float32() else 'double'}>"
     indexed = classes.select("rep", "vector").mapInArrow(_hashed(index, False, kind), schema)
-    asked = rows.where("asked").select("id", "vector").repartition("id").mapInArrow(_hashed(index, True, kind), schema)
+    # a given number of partitions: few bytes, much work, so they are not to be coalesced
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.where("asked").select("id", "vector").repartition(partitions, "id")
+    asked = spread.mapInArrow(_hashed(index, True, kind), schema)
     asked = materialize(asked, "probes")
     rows_of, asked_of = _parts(indexed.select("bucket"), "rows_parts"), _parts(asked.select("bucket"), "query_parts")
 
