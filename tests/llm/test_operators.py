@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -325,6 +326,71 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(docs).count() == len(awkward()) and not licenses.scan_licenses(empty).collect()
 
 
+def test_licenses_in_their_usual_forms(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+    apache = """# Copyright 2020 A. Person
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     https://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License."""
+    gpl = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 3 of the License, or
+(at your option) any later version."""
+    cases = [
+        (f"{mit}\n\nint main() {{}}\n", ["MIT"], False), (mit, ["MIT"], True), (apache, ["Apache-2.0"], True),
+        (f"{apache}\nimport os\n", ["Apache-2.0"], False), (f"/*\n{gpl}\n*/\nint x;", ["GPL-3.0-or-later"], False),
+        ("x\nThis work is licensed under the GNU General Public License, version 3.\ny", ["GPL-3.0-only"], False),
+        ("x\nReleased under CC BY 4.0.", ["CC-BY-4.0"], False), ("// SPDX-License-Identifier: GPL-2.0+\nx", ["GPL-2.0-or-later"], False),
+        ("SPDX-License-Identifier: LGPL-2.1-only", ["LGPL-2.1-only"], True), ("Licensed under GPLv2 or later", ["GPL-2.0-or-later"], True),
+        ("Licensed under the MIT License.\nx\nThis file is released under the\nApache License 2.0", ["Apache-2.0", "MIT"], False),
+        ("We write about software released under GPLv3.", [], False), (mit.replace("free of charge", "for a fee"), [], False),
+    ]
+    folder = Path("/usr/share/common-licenses")
+    full = {"GPL-3": "GPL-3.0-only", "GPL-2": "GPL-2.0-only", "LGPL-3": "LGPL-3.0-only", "LGPL-2.1": "LGPL-2.1-only"}
+    for name, license in (full | {n: n for n in ("Apache-2.0", "MPL-2.0", "CC0-1.0")}).items():
+        if (folder / name).exists():
+            cases.append(((folder / name).read_text(), [license], True))
+            cases.append((f"code\n\n{(folder / name).read_text()}\nmore", [license], False))
+    rows = [(k, text) for k, (text, *_) in enumerate(cases)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["licenses"], r["whole_text"]) for r in got} == {k: (n, w) for k, (_, n, w) in enumerate(cases)}
+
+
+def test_every_license_line_of_the_documents_is_found(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    with_line = licenses.scan_licenses(table.where(F.col("text").rlike(r"(?m)^(This work is licensed|Licensed|Released) under ")))
+    assert with_line.count() > 0 and with_line.where("size(licenses) = 0").count() == 0
+
+
 def test_every_known_text_has_a_marker():
     assert all(any(m in text.lower() for m in licenses.MARKERS) for _, text in licenses.KNOWN_TEXTS)
 
