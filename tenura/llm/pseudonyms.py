@@ -36,6 +36,9 @@ PHONE = (
 CARD = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"
 PATTERN = "|".join([EMAIL, SECRET, IBAN, IPV4, DATE, SSN, PHONE, CARD])
 
+#: every match of the pattern holds a digit, an at sign or the start of a quoted value
+LIKELY = r"[0-9@]|[:=]\s?[\"']"
+
 _ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -288,7 +291,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     own = Guarded(docs)
     body = own.col(text)
-    likely = body.rlike("[0-9]") & body.rlike(r"[0-9]{2}|@")
+    likely = body.rlike(LIKELY)
     candidates = own.df.withColumns(
         {
             "pieces": F.when(likely, F.split(body, PATTERN, -1)),

@@ -266,6 +266,20 @@ def test_pseudonyms(spark, docs, empty):
     assert pseudonyms.pseudonymize(docs, "key").count() == len(awkward()) and not pseudonyms.pseudonymize(empty, "key").collect()
 
 
+def test_pseudonyms_in_texts_with_few_digits(spark):
+    values = {
+        "jane@example.com": r"[a-z]{4}@example\.com",
+        "8.8.8.8": r"\d+\.\d+\.\d+\.\d+",
+        'token = "abcdefabcdefabcdef"': r'token = "[0-9a-f]{18}"',
+        "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1": r"\d(?: \d){15}",
+    }
+    rows = [(k, f"see {v} there") for k, v in enumerate(values)]
+    got = {r["doc_id"]: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for k, (value, form) in enumerate(values.items()):
+        new = re.fullmatch(f"see ({form}) there", got[k]["text"])
+        assert new and new[1] != value and got[k]["n_private"] == 1, got[k]
+
+
 def feistel(values, radices, key, kind):
     n, half = len(values), len(values) // 2
     for i in range(pseudonyms.ROUNDS):
