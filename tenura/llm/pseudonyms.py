@@ -29,11 +29,24 @@ IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 IPV4 = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"
 DATE = r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
-PHONE = (
-    r"(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,5}(?!\w)"
-    r"|(?<![\w.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
+_PHONE_3_3_4 = r"(?<![\w.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
+PHONE = r"(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,5}(?!\w)|" + _PHONE_3_3_4
+
+# The written forms of cards. A group of digits ends before a space, a mark or a dash and a short group;
+# groups that begin another value are not taken along.
+_CLOSED = r"(?!\w|-(?![0-9]{1,4}(?!\w)))"
+_OTHER = f"(?!{'|'.join([IPV4, DATE, SSN, _PHONE_3_3_4])})"
+_FOURS = (
+    rf"(?<![\w.-])[0-9]{{4}}{_CLOSED}(?:[ -]{_OTHER}[0-9]{{4}}{_CLOSED}){{3,}}+(?:[ -]{_OTHER}[0-9]{{1,3}}{_CLOSED})?+"
+)
+_FOUR_SIX = rf"(?<![\w.-])[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}{_CLOSED}"
+_UNDIVIDED = rf"(?<![\w.-])[0-9]{{13,19}}{_CLOSED}"
+_SINGLE = rf"(?<![\w.-])(?<!(?<!\w)[0-9][ -])[0-9](?:[ -][0-9](?!\w)){{12,18}}+{_CLOSED}(?![ -][0-9](?!\w))"
+_WRITTEN = "|".join([_FOURS, _FOUR_SIX, _UNDIVIDED, _SINGLE])
+#: a written form, or else digits in any groups
+CARD = (
+    rf"{_WRITTEN}|(?<![\w.-])[0-9](?:(?:[ -]{_OTHER}(?!{_WRITTEN}))?[0-9]){{12,18}}(?![\w-])"
 )
-CARD = r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"
 PATTERN = "|".join([EMAIL, SECRET, IBAN, IPV4, DATE, SSN, PHONE, CARD])
 
 #: every match of the pattern holds a digit, an at sign or the start of a quoted value
@@ -276,12 +289,48 @@ def pseudonym(m: Column, key: str) -> Column:
     return result
 
 
+def _parts(m: Column) -> Column:
+    """A candidate as an array; groups of four digits as the cards among them, from left to right, and single groups."""
+    groups = F.regexp_extract_all(m, F.lit("[0-9]{1,4}[ -]?"), F.lit(0))
+    state = "struct<parts: array<string>, skip: int>"
+
+    def among(groups: Column) -> Column:
+        def window(k: Column, n: int) -> Column:
+            return F.array_join(F.slice(groups, k + 1, n), "")
+
+        def valid(text: Column, least: int, most: int) -> Column:
+            digits = _digits(text)
+            return F.length(digits).between(least, most) & (luhn_sum(digits, 1) % 10 == 0)
+
+        def step(done: Column, k: Column) -> Column:
+            def put(text: Column, skip: int) -> Column:
+                parts = F.array_append(done["parts"], text)
+                return F.struct(parts.alias("parts"), F.lit(skip).alias("skip")).cast(state)
+
+            # inside a run, a card begins like those of the networks: a row of years is none
+            starts = (k % 4 == 0) | F.get(groups, k).rlike("^([3-6]|2[2-7])")
+            return (
+                F.when(done["skip"] > 0, F.struct(done["parts"].alias("parts"), (done["skip"] - 1).alias("skip")).cast(state))
+                .when(starts & valid(window(k, 4), 16, 16), put(window(k, 4), 3))
+                .when(starts & valid(window(k, 5), 17, 19), put(window(k, 5), 4))
+                .otherwise(put(F.get(groups, k), 0))
+            )
+
+        none = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("skip")).cast(state)
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), none, step, lambda done: done["parts"])
+
+    fours = m.rlike("^[0-9]{4}(?:[ -][0-9]{4}){3,}+(?:[ -][0-9]{1,3})?$")
+    return F.when(fours, _bind(groups, among)).otherwise(F.array(m))
+
+
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """All columns of ``docs`` with pseudonyms in ``text``, and ``n_private``, the number of values replaced.
 
     Emails, hexadecimal secrets, IBANs, IPv4 addresses, dates, social security
     numbers, phone numbers and payment cards are replaced if valid; everything
-    else stays to the letter. The permutation of each kind is bijective on its
+    else stays to the letter. A card in a written form (4-4-4-4, 4-6-5, 4-6-4,
+    undivided, digit by digit) is found beside other numbers, in other groups
+    only if no number stands next to it. The permutation of each kind is bijective on its
     domain, except that a slashed date is read month first where that is
     possible, so two differently written dates can meet.
 
@@ -298,10 +347,12 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
             "found": F.when(likely, F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))),
         }
     )
-    changed = candidates.withColumn("names", F.transform("found", lambda m: pseudonym(m, key)))
-    values = F.concat(F.zip_with("names", "found", lambda p, m: F.coalesce(p, m)), F.array(F.lit("")))
+    parted = candidates.withColumn("found", F.transform("found", _parts))
+    changed = parted.withColumn("names", F.transform("found", lambda parts: F.transform(parts, lambda m: pseudonym(m, key))))
+    named = lambda names, parts: F.array_join(F.zip_with(names, parts, lambda p, m: F.coalesce(p, m)), "")
+    values = F.concat(F.zip_with("names", "found", named), F.array(F.lit("")))
     joined = F.array_join(F.flatten(F.zip_with("pieces", values, lambda a, b: F.array(a, b))), "")
-    count = F.size(F.filter("names", lambda p: p.isNotNull()))
+    count = F.size(F.filter(F.flatten("names"), lambda p: p.isNotNull()))
     return changed.select(
         *own.with_text(text, F.when(F.size("found") > 0, joined).otherwise(body)),
         F.when(F.col("names").isNotNull(), count).otherwise(0).cast("long").alias("n_private"),

@@ -280,6 +280,32 @@ def test_pseudonyms_in_texts_with_few_digits(spark):
         assert new and new[1] != value and got[k]["n_private"] == 1, got[k]
 
 
+def test_cards_beside_other_numbers(spark):
+    four, amex = r"(\d{4} \d{4} \d{4} \d{4})", r"(\d{4} \d{6} \d{5})"
+    cases = {
+        "card 4111 1111 1111 1111 12/25": f"card {four} 12/25",
+        "no 7 4111 1111 1111 1111": f"no 7 {four}",
+        "4111111111111111 123": r"(\d{16}) 123",
+        "4111111111111111-123": r"(\d{16})-123",
+        "1234 4111 1111 1111 1111 99": f"1234 {four} 99",
+        "4322 4111 1111 1111 1111 5500 0000 0000 0004 123": f"4322 {four} {four} 123",
+        "12 3782 822463 10005 1234": f"12 {amex} 1234",
+        "7 of 4111 1111 1111 1111, 4111-1111-1111-1111.": rf"7 of {four}, (\d{{4}}-\d{{4}}-\d{{4}}-\d{{4}})\.",
+        "4111 1111 1111 1111 2021-02-28": rf"{four} (\d{{4}}-\d\d-\d\d)",
+        "4111 1111 1111 1111 8.8.4.4": rf"{four} (\d+\.\d+\.\d+\.\d+)",
+        "12 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1 12/25": r"12 (\d(?: \d){15}) 12/25",
+        "41111 11111 111111 x": r"(\d{5} \d{5} \d{6}) x",
+        "1990 1991 1992 1993 1994 1995 1996": "1990 1991 1992 1993 1994 1995 1996",
+        "4111 1111 1111 1112 12/25, 4111-1111-1111-1111-3a": "4111 1111 1111 1112 12/25, 4111-1111-1111-1111-3a",
+    }
+    rows = list(enumerate(cases))
+    got = {r["doc_id"]: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for k, (text, form) in enumerate(cases.items()):
+        new, old = re.fullmatch(form, got[k]["text"]), re.fullmatch(form, text)
+        assert new and all(a != b for a, b in zip(new.groups(), old.groups(), strict=True)), got[k]
+        assert got[k]["n_private"] == len(new.groups()), got[k]
+
+
 def feistel(values, radices, key, kind):
     n, half = len(values), len(values) // 2
     for i in range(pseudonyms.ROUNDS):
