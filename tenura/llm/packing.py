@@ -7,8 +7,10 @@ swept upwards: a gap takes the largest piece below it that no smaller gap has
 taken, so every piece goes to the closest gap that is still free. A range
 sweeps alone; what it leaves open (gaps at its start, pieces at its end) is
 matched across ranges by rank: only the two counts of each range go to the
-driver. Gaps shrink and the step is repeated until the class finds no more
-room; the rest opens new sequences, filled one after the other.
+driver. Gaps shrink and the step is repeated until no open piece fits a gap;
+only then the rest opens new sequences, filled one after the other. Once steps
+place few pieces, a gap also takes several at once: as many as of the largest
+size would fit, by the ranks of the pieces and prefix sums of that number.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenura.llm.text import CACHED_WORDS
@@ -34,7 +36,7 @@ END = 1
 #: the lower ends of the size classes below half a sequence, as parts of the capacity
 CLASSES = (8, 32, 128)
 
-#: a class sweeps on while a step places at least this share of its open pieces
+#: once a step places less than this share of its open pieces, gaps take several at once
 PROGRESS = 0.02
 
 _PIECES = "key long, id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -254,6 +256,73 @@ def _step(left: DataFrame, gaps: DataFrame, capacity: int) -> tuple[DataFrame, i
     return materialize(step, "step"), still
 
 
+_COUNTED = "name long, size int, slots int, part int, before long"
+_COUNTED_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+
+
+def _before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, before = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        slots = batch.column(2).to_numpy().astype(np.int64)
+        ends = before + np.cumsum(slots)
+        columns = [*batch.columns, pa.array(np.full(len(slots), part, np.int32)), pa.array(ends - slots)]
+        names = [c.split()[0] for c in _COUNTED.split(", ")]
+        yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, _COUNTED_TYPES, strict=True)], names=names)
+        before = int(ends[-1]) if len(ends) else before
+
+
+def _counted(rows: DataFrame, *order) -> tuple[DataFrame, int]:
+    """Rows (name, size, slots) with ``at``, the sum of the slots before them in the order, and the sum of all."""
+    counted = materialize(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_before, _COUNTED), "counted"
+    )
+    starts, total = [], 0
+    for part, slots in sorted(tuple(r) for r in counted.groupBy("part").agg(F.sum("slots")).collect()):
+        starts.append((part, total))
+        total += slots
+    table = F.broadcast(rows.sparkSession.createDataFrame(starts, "part int, start long"))
+    return counted.join(table, "part").select("name", "size", "slots", (F.col("start") + F.col("before")).alias("at")), total
+
+
+def _fill_gaps(left: DataFrame, gaps: DataFrame, count: int, capacity: int) -> tuple[DataFrame, int] | None:
+    """As a step, but a gap takes as many pieces as it holds of the largest size; None if no gap holds one."""
+    top = left.agg(F.max("size")).first()[0]
+    slots = F.floor(F.col("open") / top).cast("int")
+    room = gaps.where(F.col("open") >= top)
+    if room.isEmpty():
+        return None
+    room, total = _counted(room.select(F.col("seq").alias("name"), F.col("open").cast("int").alias("size"), slots.alias("slots")), "size", "name")
+    own, _ = _counted(
+        left.select(F.col("key").alias("name"), "size", F.lit(1).alias("slots")), F.col("size").desc(), F.col("name")
+    )
+    taken = room.where(F.col("at") < count).select(
+        F.col("name").alias("seq"),
+        F.col("size").alias("gap"),
+        F.explode(F.sequence(F.col("at"), F.least(F.col("at") + F.col("slots"), F.lit(count)) - 1)).alias("at"),
+    )
+    in_gap = Window.partitionBy("seq").orderBy("at")
+    inside = F.sum("size").over(in_gap.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int")
+    filled = (
+        own.where(F.col("at") < total)
+        .join(taken, "at")
+        .select("name", "size", "seq", "gap", inside.alias("inside"), F.lead("name").over(in_gap).isNull().alias("last"))
+    )
+    nothing, number = F.lit(None).cast("long"), F.lit(None).cast("int")
+    step = (
+        filled.select(
+            F.col("name").alias("key"),
+            "size",
+            "seq",
+            (capacity - F.col("gap") + F.col("inside") - F.col("size")).alias("offset"),
+            F.when(F.col("last"), F.col("gap") - F.col("inside")).alias("open"),
+        )
+        .unionAll(own.where(F.col("at") >= total).select("name", "size", nothing, number, number))
+        .unionAll(room.where(F.col("at") >= count).select(nothing, number, "name", number, "size"))
+        .unionAll(gaps.where(F.col("open") < top).select(nothing, number, "seq", number, F.col("open").cast("int")))
+    )
+    return materialize(step, "step"), max(count - total, 0)
+
+
 def _fill(capacity: int):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -302,18 +371,34 @@ def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         if not count:
             continue
         left = small.where((F.col("size") > low) & (F.col("size") <= (limits[k - 1] if k else bound)))
+        # gaps that no piece of the class fits: those a sweep leaves as they are find none later either
+        idle = [gaps.where(F.col("open") <= low).select("seq", "open")]
+        gaps, slow = gaps.where(F.col("open") > low), False
         while count:
+            step = _fill_gaps(left, gaps, count, capacity) if slow else None
+            if step:
+                step, count = step
+                placed.append(step.where("key is not null and seq is not null"))
+                gaps, left = step.where(f"seq is not null and open > {low}"), step.where("seq is null")
+                idle.append(step.where(f"seq is not null and open > 0 and open <= {low}").select("seq", "open"))
+                if not count:
+                    break
             step, still = _step(left, gaps, capacity)
             placed.append(step.where("key is not null and seq is not null"))
-            gaps = step.where("seq is not null and open > 0")
-            left = step.where("seq is null")
+            taken = f"key is not null and open > {low}"
+            gaps, left = step.where(f"seq is not null and {taken}"), step.where("seq is null")
+            idle.append(step.where(f"seq is not null and open > 0 and not ({taken})").select("seq", "open"))
             progress, count = count - still, still
-            if progress < PROGRESS * (progress + still) + 1:
+            if not progress:
                 break
+            slow = slow or progress < PROGRESS * (progress + still) + 1
         if count:
             opened = _open(left, capacity)
             placed.append(opened)
-            gaps = gaps.select("seq", "open").unionAll(opened.where("open > 0").select("seq", "open"))
+            idle.append(opened.where("open > 0").select("seq", "open"))
+        gaps = gaps.select("seq", "open")
+        for more in idle:
+            gaps = gaps.unionAll(more)
     result = placed[0].select("key", "seq", "offset")
     for more in placed[1:]:
         result = result.unionAll(more.select("key", "seq", "offset"))

@@ -207,6 +207,18 @@ def test_packing_many_equal_sizes(spark):
     assert len(rows) == len(sizes) and max(used.values()) <= 1000 and len(used) <= 1.03 * sum(sizes) / 1000 + 1
 
 
+def test_packing_few_gaps_and_many_short_pieces(spark):
+    sizes = [2100] * 100 + [20] * 6000 + [7] * 300
+    lengths = spark.createDataFrame(list(enumerate(sizes)), "key long, size int")
+    places = defaultdict(list)
+    for r in packing.place(lengths).collect():
+        places[r["seq"]].append((r["offset"], sizes[r["key"]]))
+    assert sum(map(len, places.values())) == len(sizes) and len(places) == 100
+    for own in places.values():
+        ends = np.cumsum([0, *[n for _, n in sorted(own)]])
+        assert [o for o, _ in sorted(own)] == ends[:-1].tolist() and ends[-1] <= packing.CAPACITY
+
+
 def test_fingerprints(docs, empty):
     rows = {r["doc_id"]: r for r in fingerprints.fingerprint_successors(docs.where("doc_id is not null")).collect()}
     order = sorted(((k, t or "") for k, t in awkward() if k is not None), reverse=True)
