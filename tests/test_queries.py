@@ -71,3 +71,11 @@ def test_every_query_has_sql():
 
 def test_entry_has_rows(spark):
     assert spark_entry.entry(spark).count() > 0
+
+
+def test_staff_report_is_not_written_by_one_task(spark, monkeypatch):
+    from tenura.sources import writers
+
+    asked, export = [], writers.export_csv
+    monkeypatch.setattr(writers, "export_csv", lambda df, path, one_file=False: asked.append(one_file) or export(df, path, one_file))
+    assert spark_entry.queries()["report_csv"](spark, "/root/testdata/sf0.001").count() and asked == [False]

@@ -165,7 +165,7 @@ def _(r):
 )
 def _(r):
     report = staff(r).select("employee_id", "full_name", "tenure_years")
-    path = writers.export_csv(report, new_path(r.spark, "report-csv"), one_file=True)
+    path = writers.export_csv(report, new_path(r.spark, "report-csv"))
     return readers.read_csv(r.spark, path, schema=report.schema)
 
 
