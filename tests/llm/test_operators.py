@@ -159,6 +159,13 @@ def test_all_pairs_that_the_pivot_leaves(spark, monkeypatch):
     assert near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_the_filter_loses_no_pair_in_practice(percent):
+    n, p = near_dedup.LONG, 1 - percent / 100
+    more = range(near_dedup.most_different(percent) + 1, n + 1)
+    assert sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in more) < 2e-8
+
+
 def test_components(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 480)]
