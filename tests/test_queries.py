@@ -6,10 +6,9 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from oracle_check import connect, differences
+from workload import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +68,10 @@ def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_entry_has_every_bound_query():
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert spark_entry.entry(spark).count() > 0
 
@@ -78,4 +81,4 @@ def test_staff_report_is_not_written_by_one_task(spark, monkeypatch):
 
     asked, export = [], writers.export_csv
     monkeypatch.setattr(writers, "export_csv", lambda df, path, one_file=False: asked.append(one_file) or export(df, path, one_file))
-    assert spark_entry.queries()["report_csv"](spark, "/root/testdata/sf0.001").count() and asked == [False]
+    assert QUERIES["report_csv"](spark, "/root/testdata/sf0.001").count() and asked == [False]
