@@ -12,14 +12,17 @@ from tenura.llm import (
     fingerprints,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     near_dedup,
     packing,
     pseudonyms,
     quality,
     substring_dedup,
+    warc,
 )
 from tenura.llm.shipping import ship
+from tenura.settings import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +151,103 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "embeddings")
     return ann.nearest(table, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive(_table(spark, sf_dir, "pages"), new_path(spark, "archives"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Base 32 of the hexadecimal digest: ten digits are eight characters of five bits.
+ORACLES["op11_warc"] = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), groups AS (
+    SELECT *, max(page_id) OVER (PARTITION BY hex) AS kept FROM payloads
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to
+FROM groups
+"""
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    changed = F.when(F.crc32(docs["doc_id"].cast("string")) % 2 == 0, F.replace(docs["text"], F.lit("\n"), F.lit("")))
+    rows = merkle.manifest(
+        docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": F.coalesce(changed, docs["text"])}
+    )
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+# The table of crc32 and its value for a text, for engines without the function.
+CRC_TABLE = """
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                ORDER BY i) AS crcs
+    FROM range(256) r(i)"""
+CRC_OF = """xor(list_reduce({codes}, lambda a, b: xor(a >> 8, crcs[1 + (xor(a, b) & 255)]), 4294967295), 4294967295)"""
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen(({column})::VARCHAR) || ':' || ({column}), '-')"
+
+
+def _nodes_sql(name: str, start: str) -> str:
+    """All levels of the trees of ``start``; the width of a level goes along with its nodes."""
+    return f"""{name} AS (
+        SELECT tree, 0 AS level, spot, digest, width FROM {start}
+        UNION ALL
+        SELECT tree, level + 1, spot // 3, sha256(string_agg(digest, '' ORDER BY spot)), (max(width) + 2) // 3
+        FROM {name} WHERE width > 1 GROUP BY tree, level, spot // 3
+    )"""
+
+
+def _sides_sql(key: str, start: str, nodes: str) -> str:
+    """The other nodes of the run, before and after, of each level above each row of ``start``."""
+    place = "s.spot // (3 ** n.level)::BIGINT"
+    side = "coalesce(string_agg(n.digest, '' ORDER BY n.spot) FILTER (WHERE n.spot {0} " + place + "), '')"
+    return f"""
+        SELECT s.{key}, n.level, {side.format("<")} || '|' || {side.format(">")} AS sides
+        FROM {start} s JOIN {nodes} n ON s.tree = n.tree AND n.width > 1 AND n.spot // 3 = s.spot // (3 ** (n.level + 1))::BIGINT
+        GROUP BY s.{key}, n.level"""
+
+
+_BEFORE_TEXT = "doc_id source lang n_chars".split()
+ORACLES["op13_merkle"] = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}
+), hashed AS (
+    SELECT doc_id, coalesce('s' || source, 'n') AS tree, {" || ".join(_field_sql(c) for c in _BEFORE_TEXT)} AS head,
+           sha256(head || {_field_sql("text")}) AS digest,
+           {CRC_OF.format(codes="list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)")} % 2 = 0 AS odd,
+           CASE WHEN odd THEN replace(text, chr(10), '') ELSE text END AS other,
+           sha256(head || {_field_sql("other")}) AS checked
+    FROM documents, crc
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS spot, count(*) OVER (PARTITION BY tree) AS width
+    FROM hashed
+), {_nodes_sql("nodes", "leaves")}, subroots AS (
+    SELECT tree AS own, 'all' AS tree, digest, row_number() OVER (ORDER BY tree) - 1 AS spot, count(*) OVER () AS width
+    FROM nodes WHERE width = 1
+), {_nodes_sql("tops", "subroots")}, steps AS (
+    SELECT doc_id, 0 AS tier, level, sides FROM ({_sides_sql("doc_id", "leaves", "nodes")})
+    UNION ALL
+    SELECT doc_id, 1, level, sides FROM ({_sides_sql("own", "subroots", "tops")}) u JOIN leaves l ON l.tree = u.own
+), paths AS (
+    SELECT doc_id, list(sides ORDER BY tier, level) AS path FROM steps GROUP BY doc_id
+), folded AS (
+    SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, (SELECT digest FROM tops WHERE width = 1) AS root,
+           replace(array_to_string(coalesce(path, []), ''), '|', '') AS proof,
+           list_reduce(coalesce(path, []), lambda a, b: sha256(split_part(b, '|', 1) || a || split_part(b, '|', 2)), l.checked)
+               AS folded_root
+    FROM leaves l JOIN subroots s ON l.tree = s.own LEFT JOIN paths p ON l.doc_id = p.doc_id
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded_root, folded_root = root AS verified FROM folded
+"""

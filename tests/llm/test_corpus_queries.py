@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import duckdb
 import pytest
 
@@ -22,7 +25,19 @@ def test_equal_to_sql(spark, name):
 
 
 def test_all_are_there():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_no_cross_joins_and_no_python_in_native_plans(spark):
+    for name, query in QUERIES.items():
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            query(spark, FOLDER).explain("simple")
+        plan = text.getvalue()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+        if name in ("op1_pseudonyms", "op3_line_dedup", "op9_mixing"):
+            for node in ("Python", "Pandas", "MapInArrow", "MapPartitions"):
+                assert node not in plan, (name, node)
 
 
 def test_pipeline(spark):
