@@ -18,6 +18,7 @@ from tenura.llm import (
     packing,
     pseudonyms,
     quality,
+    spelling,
     substring_dedup,
     warc,
 )
@@ -176,6 +177,57 @@ FROM groups
 """
 
 
+# The table of crc32 and its value for a text, for engines without the function.
+CRC_TABLE = """
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                ORDER BY i) AS crcs
+    FROM range(256) r(i)"""
+CRC_OF = """xor(list_reduce({codes}, lambda a, b: xor(a >> 8, crcs[1 + (xor(a, b) & 255)]), 4294967295), 4294967295)"""
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(_table(spark, sf_dir, "documents")))
+
+
+# Near words share a text without one letter: at the same place if a letter is replaced, or one of them is that text.
+ORACLES["op12_spelling"] = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}
+), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(
+        text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT id, run, count(*) AS n, hex(id || ':' || run) AS bytes FROM runs GROUP BY id, run
+), hashed AS (
+    SELECT run, n, {CRC_OF.format(codes="list_transform(range(strlen(bytes) // 2), lambda i: ('0x' || substr(bytes, 1 + 2 * i, 2))::BIGINT)")} AS h,
+           (h % length(run))::BIGINT AS place
+    FROM counted, crc
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, place) || substr(run, place + 2) ELSE run END AS word,
+           sum(n)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cuts AS (
+    SELECT word, n, place, substr(word, 1, place) || substr(word, place + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS place FROM words)
+), near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b USING (rest, place) WHERE a.word <> b.word
+    UNION SELECT c.word, c.n, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, w.n, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word
+), best AS (
+    SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+           CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+), ways AS (
+    SELECT word, word AS at_word, form AS next FROM forms
+    UNION ALL SELECT y.word, f.word, f.form FROM ways y JOIN forms f ON y.next = f.word
+)
+SELECT f.word, form, at_word AS root, n, n_near, form_n FROM forms f JOIN ways y ON f.word = y.word AND y.next IS NULL
+"""
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -188,14 +240,6 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The table of crc32 and its value for a text, for engines without the function.
-CRC_TABLE = """
-    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
-                ORDER BY i) AS crcs
-    FROM range(256) r(i)"""
-CRC_OF = """xor(list_reduce({codes}, lambda a, b: xor(a >> 8, crcs[1 + (xor(a, b) & 255)]), 4294967295), 4294967295)"""
-
-
 def _field_sql(column: str) -> str:
     return f"coalesce(strlen(({column})::VARCHAR) || ':' || ({column}), '-')"
 
