@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tenura.operators.ordered import RowNumber, number_rows, over_groups
-from tenura.settings import Limits
+from tenura.operators.ordered import RowNumber, RunningMax, number_rows, over_groups
+from tenura.operators.skew import KeyProfile, count_hot
+from tenura.settings import Limits, materialize, session_limits
 
 
 def surrogate_keys(
@@ -33,17 +34,79 @@ def uniquify(
     with_suffix=None,
     limits: Limits | None = None,
 ) -> DataFrame:
-    """Make ``base`` unique: the first holder keeps it, later ones get 1, 2, 3, ...
-
-    ``with_suffix(base, n)`` builds the suffixed value (default: appended). A
-    base that itself ends in a digit can meet a suffixed one; the ``unique``
-    check finds that.
+    """Make ``base`` unique: in ``order``, each row takes its base or, while that is taken, counts on from 1.
+
+    ``with_suffix(base, n)`` builds the suffixed value (default: appended);
+    it must give another value for each ``n``. ``order`` must be unique. NULL
+    stays NULL. The result equals going through all rows one by one, also where
+    a suffixed value meets another base (a, a, a1 gives a, a1, a11).
+
+    Each row first asks for the name its place among the rows of its base
+    gives. Of the rows that ask for one name the first in order holds it; the
+    others go on to their next name that no earlier row holds, and the rows of
+    their base behind them move up. A name once lost stays lost, so rounds are
+    repeated until no name is asked for twice; the search ahead doubles each
+    round. Only (base, order) and the number are kept between rounds. Without
+    such conflicts one aggregate tells, and the places are the numbers.
     """
-    numbered = over_groups(df, [base], order, [RowNumber("_nth")], limits)
-    suffix = (F.col("_nth") - 1).cast("string")
+    spark = df.sparkSession
+    counted = limits or Limits(session_limits(spark).max_group_rows)
     make = with_suffix or (lambda value, n: F.concat(value, n))
-    unique = F.when(F.col("_nth") == 1, F.col(base)).otherwise(make(F.col(base), suffix))
-    return numbered.withColumn(out, unique).drop("_nth")
+    few = df.filter(F.col(base).isNotNull()).groupBy(base).agg(F.count(F.lit(1)).alias("_rows"))
+    # the names that bases with several rows may take, met by another base's name
+    taken = few.select(F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)).alias("_n"), F.col(base).alias("_base"))
+    named = F.when(F.col("_n") == 0, F.col("_base")).otherwise(make(F.col("_base"), F.col("_n").cast("string")))
+    if taken.groupBy(named.alias("_name")).agg(F.count(F.lit(1)).alias("_bases")).filter("_bases > 1").isEmpty():
+        numbered = over_groups(df, [base], order, [RowNumber("_n")], counted).withColumn("_n", F.col("_n") - 1)
+        return numbered.withColumn("_base", F.col(base)).withColumn(out, named).drop("_n", "_base")
+
+    def name(number: Column) -> Column:
+        return F.when(number == 0, F.col("_base")).otherwise(make(F.col("_base"), number.cast("string")))
+
+    place = F.struct(*[F.col(f"_o{i}") for i in range(len(order))])
+    places = [f"_o{i}" for i in range(len(order))]
+    narrow = df.filter(F.col(base).isNotNull()).select(
+        F.col(base).alias("_base"), *[F.col(c).alias(o) for c, o in zip(order, places, strict=True)]
+    )
+    # a base keeps its rows in all rounds, so its share is counted once
+    if counted.profile is None:
+        found = frozenset(count_hot(narrow, ["_base"], counted.max_group_rows))
+        counted = Limits(counted.max_group_rows, KeyProfile({("_base",): (narrow.select("_base").schema, found)}))
+    ranked = over_groups(narrow, ["_base"], places, [RowNumber("_nth")], counted)
+    state = materialize(ranked.withColumn("_n", F.col("_nth") - 1), "names")
+    ahead = 16
+    while True:
+        asked = state.withColumns({"_name": name(F.col("_n")), "_place": place})
+        holders = asked.groupBy("_name").agg(F.min("_place").alias("_holder"), F.count(F.lit(1)).alias("_asking"))
+        lost = (
+            asked.join(holders.filter("_asking > 1").select("_name", "_holder"), "_name")
+            .filter(F.col("_place") > F.col("_holder"))
+            .select("_base", *places, "_place", "_nth", "_n")
+        )
+        lost = materialize(lost, "lost-names")
+        if lost.isEmpty():
+            break
+        tried = lost.withColumn("_try", F.explode(F.sequence(F.col("_n") + 1, F.col("_n") + ahead)))
+        tried = tried.withColumn("_name", name(F.col("_try")))
+        # the names that someone earlier holds are passed, the first other one is asked for
+        free = tried.join(holders.select("_name", "_holder"), "_name", "left").withColumn(
+            "_free", F.col("_holder").isNull() | (F.col("_holder") >= F.col("_place"))
+        )
+        moved = free.groupBy("_base", *places).agg(
+            F.coalesce(F.min(F.when(F.col("_free"), F.col("_try"))), F.max("_try") + 1).alias("_moved")
+        )
+        behind = state.join(lost.select("_base").distinct(), "_base", "left_semi").join(moved, ["_base", *places], "left")
+        behind = behind.withColumn("_lead", F.coalesce("_moved", "_n") - F.col("_nth"))
+        pushed = over_groups(behind, ["_base"], places, [RunningMax("_lead", "_most")], counted)
+        pushed = pushed.select("_base", *places, "_nth", (F.col("_nth") + F.col("_most")).alias("_n"))
+        others = state.join(lost.select("_base").distinct(), "_base", "left_anti")
+        state = materialize(others.unionByName(pushed), "names")
+        ahead = min(2 * ahead, 1 << 16)
+    numbers = state.filter("_n > 0").select(*places, "_n")
+    joined = df.withColumns({"_base": F.col(base)} | {o: F.col(c) for c, o in zip(order, places, strict=True)}).join(
+        numbers, places, "left"
+    )
+    return joined.withColumn(out, name(F.coalesce("_n", F.lit(0)))).drop("_base", "_n", *places)
 
 
 def suffix_before_at(value: Column, n: Column) -> Column:

@@ -1,13 +1,13 @@
-"""Ordered work inside groups (lag, lead, row number, rank) without hot tasks.
+"""Ordered work inside groups (lag, lead, row number, rank, running maximum) without hot tasks.
 
 A window puts all rows of one key into one task. That is the best plan as long
-as every key is small, so it is used whenever the input is small or a count per
-key (pre-aggregated on the map side) finds no key above the limit. The rows of
-the keys above it are range-sorted by (key, order) instead, which spreads a key
-over many tasks, and written once to the shared folder with their position in
-the sort. The written positions are stable, so everything that follows may be
-recomputed. Neighbours then come from a window over one sort slice plus the
-edge row of the adjacent slice, and row numbers from slice offsets.
+as every key is small. The rows of the keys that are known to be hot, or found
+to be by a count if the limits ask for it, are range-sorted by (key, order)
+instead, which spreads a key over many tasks, and written once to the shared
+folder with their position in the sort. The written positions are stable, so
+everything that follows may be recomputed. Neighbours then come from a window
+over one sort slice plus the edge row of the adjacent slice, row numbers and
+running maxima from slice offsets.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tenura.operators.skew import count_hot
 from tenura.settings import Limits, materialize, session_limits
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition id above, row position below
@@ -47,11 +48,19 @@ class Rank:
     by: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class RunningMax:
+    """Largest ``value`` from the first row of the group up to the row itself."""
+
+    value: str
+    out: str
+
+
 def over_groups(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    columns: list[Neighbour | RowNumber | Rank],
+    columns: list[Neighbour | RowNumber | Rank | RunningMax],
     limits: Limits | None = None,
 ) -> DataFrame:
     """Add ``columns`` computed within ``keys`` in ascending ``order``.
@@ -88,14 +97,17 @@ def number_rows(df: DataFrame, order: list[str], out: str, limits: Limits | None
 def hot_keys(df: DataFrame, keys: list[str], limits: Limits | None = None) -> DataFrame | None:
     """The keys with more than ``max_group_rows`` rows, or None if there are none.
 
-    At most (rows / max_group_rows) keys can exist, which bounds what reaches
-    the driver and what is broadcast by ``split_by_keys``.
+    They are looked up in the profile of the limits, by default that of the
+    session, without a job; limits without a profile have them counted. At most
+    (rows / max_group_rows) keys of a table can be hot, which bounds what
+    reaches the driver and what is broadcast by ``split_by_keys``.
     """
-    limits = limits or session_limits(df.sparkSession)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") > limits.max_group_rows).select(*keys)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    spark = df.sparkSession
+    limits = limits or session_limits(spark)
+    if limits.profile is not None:
+        return limits.profile.frame(spark, keys)
+    rows = count_hot(df, keys, limits.max_group_rows)
+    return spark.createDataFrame(rows, df.select(*keys).schema) if rows else None
 
 
 def split_by_keys(df: DataFrame, keys: list[str], chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -116,6 +128,9 @@ def _by_window(df, keys, order, columns):
             df = df.withColumn(c.out, pick.over(ordered))
         elif isinstance(c, RowNumber):
             df = df.withColumn(c.out, F.row_number().over(ordered).cast("bigint"))
+        elif isinstance(c, RunningMax):
+            so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+            df = df.withColumn(c.out, F.max(c.value).over(so_far))
         else:
             df = df.withColumn(c.out, F.rank().over(W.partitionBy(*keys).orderBy(*c.by)).cast("bigint"))
     return df
@@ -152,6 +167,8 @@ def _by_slices(df, keys, order, columns):
             rows = _slice_neighbour(rows, keys, c)
         elif isinstance(c, RowNumber):
             rows = _nth_of(rows, keys, c.out, hot_only=True)
+        elif isinstance(c, RunningMax):
+            rows = _slice_running_max(rows, keys, c)
         else:
             rows = _nth_of(rows, keys, "_in_group", hot_only=True)
             rows = _nth_of(rows, [*keys, *c.by], "_in_tie", hot_only=False)
@@ -170,6 +187,22 @@ def _nth_of(rows, keys, out, hot_only):
     return joined.drop("_start", *[f"_k_{k}" for k in keys])
 
 
+def _slice_running_max(rows, keys, c):
+    names = [f"_k_{k}" for k in keys]
+    # one row per slice and hot key in it
+    parts = rows.groupBy("_slice", *[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(
+        F.max(c.value).alias("_top")
+    )
+    earlier = W.partitionBy(*names).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select(F.col("_slice").alias("_part"), *names, F.max("_top").over(earlier).alias("_carried"))
+    same = _all([F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
+    inside = W.partitionBy("_slice", *keys).orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    joined = rows.withColumn("_inside", F.max(c.value).over(inside)).join(
+        F.broadcast(carried), same & (F.col("_slice") == F.col("_part"))
+    )
+    return joined.withColumn(c.out, F.greatest("_inside", "_carried")).drop("_inside", "_carried", "_part", *names)
+
+
 def _slice_neighbour(rows, keys, c):
     if abs(c.step) != 1:
         raise ValueError("only the adjacent row is supported for split groups")

@@ -116,13 +116,12 @@ def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
 
 
 def required_columns(df: DataFrame, table: str, required: list[str]) -> DataFrame:
-    """failing_rows is the number of columns the schema lacks; the data is only counted."""
+    """failing_rows counts the columns that the schema lacks, and those that hold no value in any row."""
     absent = missing_columns(df, required)
-    counted = df.agg(F.count(F.lit(1)).alias("_n"))
-    line = counted.select(
-        F.lit("required_columns").alias("check"),
-        F.lit(",".join(required)).alias("columns"),
-        F.lit(len(absent)).alias("failing_rows"),
+    present = [c for c in required if c not in absent]
+    empty = sum([F.when(F.count(c) == 0, 1).otherwise(0) for c in present], F.lit(len(absent)))
+    line = df.agg(empty.alias("failing_rows")).select(
+        F.lit("required_columns").alias("check"), F.lit(",".join(required)).alias("columns"), "failing_rows"
     )
     return _report(line, table)
 
@@ -139,6 +138,14 @@ def gate(report: DataFrame) -> None:
         raise ValueError("data-quality checks failed: " + "; ".join(lines))
 
 
+def gate_rows(counts: dict[str, int], minimum_rows: dict[str, int]) -> None:
+    """Raise if a table has fewer rows than asked for, by counts that are known already."""
+    short = {name: least - counts[name] for name, least in minimum_rows.items() if counts[name] < least}
+    if short:
+        lines = [f"{name}.minimum_rows(): {missing}" for name, missing in short.items()]
+        raise ValueError("data-quality checks failed: " + "; ".join(lines))
+
+
 def _count_report(df, failing, table, check, columns):
     line = df.agg(failing.alias("failing_rows")).select(
         F.lit(check).alias("check"), F.lit(",".join(columns)).alias("columns"), "failing_rows"

@@ -22,7 +22,7 @@ from tenura.schemas import (
     WAREHOUSE_TABLES,
 )
 from tenura.settings import Limits
-from tenura.sources.writers import load_warehouse, read_warehouse
+from tenura.sources.publish import current_version, publish, read_version, stage
 
 # fixed values: rows a loaded warehouse table has at least
 MINIMUM_ROWS = {"dim_employee": 100, "dim_department": 5, "fact_employee_snapshot": 100, "dim_date": 365}
@@ -91,9 +91,11 @@ def build_warehouse(
     minimum_rows: dict[str, int] | None = None,
     limits: Limits | None = None,
 ) -> dict[str, DataFrame]:
-    """Extract, transform, load with a full refresh, validate; returns the loaded tables.
+    """Extract, transform, load into a new version, validate, publish; returns the loaded tables.
 
-    Raises if a table has too few rows or a fact key no row in its dimension.
+    Raises if a table has too few rows or a fact key no row in its dimension;
+    what was published before then stays what readers see. The row counts come
+    from the writing itself.
     """
     tables = star_schema(
         spark, extract_all(source), source, as_of, start_year, end_year, limits=limits, carry=("salary_id",)
@@ -102,13 +104,23 @@ def build_warehouse(
     tables["fact_employee_snapshot"] = number_rows(
         tables["fact_employee_snapshot"], ["employee_key", "salary_id"], "snapshot_id", limits
     )
-    load_warehouse(tables, directory)
-    loaded = read_warehouse(spark, directory)
-    quality.gate(minimum_row_report(loaded, MINIMUM_ROWS if minimum_rows is None else minimum_rows))
+    version, counts = stage(tables, directory)
+    loaded = read_version(spark, directory, version)
+    least = MINIMUM_ROWS if minimum_rows is None else minimum_rows
+    quality.gate_rows(counts, least)
     quality.gate(quality.combine(_key_checks(loaded, "fact_employee_snapshot")))
+    publish(spark, directory, version, counts)
     return loaded
 
 
+def read_warehouse(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+    """The tables of the published version; raises before the first publication."""
+    version = current_version(spark, directory)
+    if version is None:
+        raise ValueError(f"no warehouse has been published in {directory}")
+    return read_version(spark, directory, version)
+
+
 def minimum_row_report(tables: dict[str, DataFrame], minimum_rows: dict[str, int]) -> DataFrame:
     return quality.combine([quality.minimum_rows(tables[name], name, least) for name, least in minimum_rows.items()])
 

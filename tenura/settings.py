@@ -1,18 +1,23 @@
-"""Size limits and the shared working folder.
+"""Size limits, known hot keys and the shared working folder.
 
 The operators leave the physical plan to Catalyst. Only where one key could
-put an unbounded number of rows into one task do they count the rows of each
-key first; the keys over the limit take a way that splits them.
+put an unbounded number of rows into one task do they look whether it is hot;
+the keys over the limit take a way that splits them. Which keys are hot comes
+from the session's key profile, made once per table. Limits given without a
+profile ask the operator to count the keys itself, by a job of its own.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tenura.operators.skew import KeyProfile
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -20,14 +25,25 @@ class Limits:
 
     max_group_rows: rows of one key that a single task may sort; keys with
         more rows are split over many tasks.
+    profile: the keys known to be hot; None to count them.
     """
 
     max_group_rows: int = 5_000_000
+    profile: KeyProfile | None = None
+
+
+_PROFILES: weakref.WeakKeyDictionary[SparkSession, KeyProfile] = weakref.WeakKeyDictionary()
+
+
+def use_profile(spark: SparkSession, profile: KeyProfile) -> None:
+    """Let operators called without limits split the keys of ``profile``."""
+    _PROFILES[spark] = profile
 
 
 def session_limits(spark: SparkSession) -> Limits:
-    """The limits set in the session, as spark.tenura.maxGroupRows."""
-    return Limits(int(spark.conf.get("spark.tenura.maxGroupRows", str(Limits().max_group_rows))))
+    """The row limit set in the session, as spark.tenura.maxGroupRows, and its key profile, empty if none is in use."""
+    rows = int(spark.conf.get("spark.tenura.maxGroupRows", str(Limits().max_group_rows)))
+    return Limits(rows, _PROFILES.get(spark, KeyProfile()))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -37,22 +37,6 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     df.write.format("jdbc").options(url=url, dbtable=table, **options).mode(mode).save()
 
 
-def load_warehouse(tables: dict[str, DataFrame], directory: str) -> dict[str, str]:
-    """Full refresh of the warehouse: dimensions first, then the fact by date key."""
-    paths = {}
-    for name in LOAD_ORDER:
-        by = ["date_key"] if name == "fact_employee_snapshot" else None
-        paths[name] = write_table(conform(tables[name], name), f"{directory}/{name}", partition_by=by)
-    return paths
-
-
-def read_warehouse(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """The loaded tables by their declared schemas, so that tables without rows are read as well."""
-    return {
-        name: conform(spark.read.schema(schema_of(name)).parquet(f"{directory}/{name}"), name) for name in LOAD_ORDER
-    }
-
-
 def export_csv(df: DataFrame, path: str, one_file: bool = False) -> str:
     """Write CSV with a header as distributed part files; as one file, by one task, only if asked for."""
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).csv(path)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tenura.operators import ordered
 from tenura.operators.history import close_history
 from tenura.operators.keys import surrogate_keys, uniquify
-from tenura.operators.ordered import Neighbour, Rank, RowNumber, hot_keys, number_rows, over_groups
-from tenura.settings import Limits
+from tenura.operators.ordered import Neighbour, Rank, RowNumber, RunningMax, hot_keys, number_rows, over_groups
+from tenura.operators.skew import KeyProfile, profile_keys, surely_found
+from tenura.settings import Limits, use_profile
 
 SPLIT = Limits(max_group_rows=20)
 SPLIT_ALL = Limits(max_group_rows=0)
@@ -123,6 +124,85 @@ def test_uniquify_one_base_for_a_third(frame, rows, limits):
     assert [r["name"] for r in hot] == ["k1_"] + [f"k1_{i}" for i in range(1, len(hot))]
 
 
+def one_by_one(rows, make=lambda base, n: f"{base}{n}"):
+    """(order, base) -> name, as a loop with a set of taken names gives them."""
+    taken, names = set(), {}
+    for order, base in sorted(rows):
+        if base is None:
+            continue
+        name, n = base, 0
+        while name in taken:
+            n += 1
+            name = make(base, n)
+        taken.add(name)
+        names[order] = name
+    return names
+
+
+def colliding(seed):
+    rng = random.Random(seed)
+    bases = ["a", "a1", "a11", "a2", "a12", "b", "b1", None, "c"]
+    rows = [(i, rng.choices(bases, [30, 8, 4, 3, 2, 5, 5, 2, 1])[0]) for i in range(220)]
+    run = [(1000 + i, f"d{i}" if i else "d") for i in range(90)] + [(2000, "d"), (2001, "d"), (2002, "d5"), (2003, "d90")]
+    return rows + run + [(-5, "d7"), (-6, "d")]
+
+
+@pytest.mark.parametrize("limits", [PLAIN, SPLIT, SPLIT_ALL], ids=["plain", "split", "split all"])
+@pytest.mark.parametrize("rows", [[(1, "a"), (2, "a"), (3, "a1")], [(1, "a1"), (2, "a"), (3, "a")], colliding(1)], ids=["late", "early", "many"])
+def test_uniquify_equals_one_by_one(spark, rows, limits):
+    frame = spark.createDataFrame(rows, "id bigint, base string").repartition(3)
+    got = {r["id"]: r["name"] for r in uniquify(frame, "base", ["id"], "name", limits=limits).collect()}
+    want = one_by_one(rows)
+    assert {k: v for k, v in got.items() if v is not None} == want and len(set(want.values())) == len(want)
+    assert len(got) == len(rows)
+
+
+def test_uniquify_of_nothing(spark):
+    empty = spark.createDataFrame([], "id bigint, base string")
+    assert uniquify(empty, "base", ["id"], "name").collect() == []
+
+
+@pytest.mark.parametrize("limits", [PLAIN, SPLIT, SPLIT_ALL], ids=["plain", "split hot", "split all"])
+def test_running_max(frame, rows, limits):
+    got = {r["id"]: r["most"] for r in over_groups(frame, ["key"], ["day", "id"], [RunningMax("value", "most")], limits).collect()}
+    for row_id, key, day, _ in rows:
+        before = [r[3] for r in rows if r[1] == key and (r[2], r[0]) <= (day, row_id) and r[3] is not None]
+        assert got[row_id] == max(before, default=None)
+
+
+def test_profile_finds_the_hot_keys_of_all_sets(frame, rows):
+    profile = profile_keys(frame, [["key"], ["key", "day"], ["id"]], 100)
+    assert {k: {tuple(r) for r in values} for k, (_, values) in profile.hot.items()} == {("key",): {(1,)}, ("key", "day"): set(), ("id",): set()}
+    # a limit too fine for any sketch is counted
+    for limit in (0, 3, 20):
+        counts = {}
+        for r in rows:
+            counts[r[1]] = counts.get(r[1], 0) + 1
+        found = profile_keys(frame, [["key"]], limit, tracked=8).hot[("key",)][1]
+        assert {r["key"] for r in found} == {k for k, n in counts.items() if n > limit}
+
+
+def test_sketch_does_not_miss_a_hot_key(spark):
+    """Two hot keys among a hundred thousand cold ones, with a sketch much smaller than the keys."""
+    keys = spark.range(300_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 50 = 1 THEN -2 ELSE id % 100000 END AS k")
+    assert surely_found(300_000, 1000) < 3000
+    assert {r["k"] for r in profile_keys(keys, [["k"]], 3000, tracked=1000).hot[("k",)][1]} == {-1, -2}
+
+
+def test_no_job_while_a_query_is_built(spark, frame):
+    """The profile is made once; operators that use it run nothing until their result is asked for."""
+    use_profile(spark, profile_keys(frame, [["key"]], 100).renamed(key="other") | KeyProfile())
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    built = over_groups(frame, ["key"], ["day", "id"], [RowNumber("nth")])
+    assert list(jobs.getJobIdsForGroup("building")) == []
+    use_profile(spark, profile_keys(frame, [["key"]], 100))
+    assert hot_keys(frame, ["key"]).collect()[0]["key"] == 1 and hot_keys(frame, ["id"]) is None
+    split = over_groups(frame, ["key"], ["day", "id"], [RowNumber("nth")])
+    use_profile(spark, KeyProfile())
+    assert sorted(map(str, built.collect())) == sorted(map(str, split.collect()))
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id bigint, key bigint, day int, value int")
     assert over_groups(empty, ["key"], ["day", "id"], [RowNumber("n")], SPLIT).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
@@ -13,7 +14,7 @@ from tenura.operators import quality
 from tenura.operators.keys import surrogate_keys
 from tenura.plans import dimensions, extract, facts, models, staging, warehouse
 from tenura.settings import Limits
-from tenura.sources import readers, writers
+from tenura.sources import appends, publish, readers, writers
 
 AS_OF = "2024-01-01"
 SPLIT = Limits(max_group_rows=0)
@@ -203,11 +204,95 @@ def test_warehouse_of_empty_sources_reaches_the_gate(spark, tmp_path):
     empty = {table: schemas.empty_table(spark, table) for table in schemas.SOURCE_TABLES}
     with pytest.raises(ValueError, match="minimum_rows"):
         warehouse.build_warehouse(spark, empty, str(tmp_path / "w"), "2027-03-01")
-    loaded = writers.read_warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(ValueError, match="no warehouse has been published"):
+        warehouse.read_warehouse(spark, str(tmp_path / "w"))
+    (version,) = [f.name for f in (tmp_path / "w" / "versions").iterdir()]
+    loaded = publish.read_version(spark, str(tmp_path / "w"), version)
     assert loaded["fact_employee_snapshot"].isEmpty()
     assert loaded["dim_date"].filter("year = 2027").count() == 365
 
 
+def rows_of(tables):
+    return {name: sorted(map(str, df.drop("load_timestamp").collect())) for name, df in tables.items()}
+
+
+def test_failing_gate_leaves_the_published_warehouse(spark, source, tmp_path):
+    folder = str(tmp_path / "w")
+    build = lambda tables, least: warehouse.build_warehouse(spark, tables, folder, AS_OF, 2024, 2024, minimum_rows=least)
+    before = rows_of(build(source, {"dim_date": 365}))
+    fewer = {**source, "employees": source["employees"].filter("employee_id < 3")}
+    with pytest.raises(ValueError, match="dim_employee.minimum_rows"):
+        build(fewer, {"dim_employee": 5})
+    assert rows_of(warehouse.read_warehouse(spark, folder)) == before
+    after = rows_of(build(fewer, {"dim_employee": 2}))
+    assert rows_of(warehouse.read_warehouse(spark, folder)) == after != before
+    log = publish.publications(spark, folder).orderBy("number").collect()
+    assert [r["number"] for r in log] == [1, 2]
+    assert {t["table"]: t["row_count"] for t in log[1]["tables"]} == {name: len(rows) for name, rows in after.items()}
+    publish.publish(spark, folder, log[0]["version"], {})
+    assert rows_of(warehouse.read_warehouse(spark, folder)) == before
+
+
+def test_load_that_dies_between_two_tables(spark, source, tmp_path, monkeypatch):
+    folder = str(tmp_path / "w")
+    build = lambda: warehouse.build_warehouse(spark, source, folder, AS_OF, 2024, 2024, minimum_rows={})
+    before = rows_of(build())
+    write, written = publish.write_table, []
+
+    def dies(df, path, **options):
+        if len(written) == 3:
+            raise KeyboardInterrupt
+        written.append(path)
+        return write(df, path, **options)
+
+    monkeypatch.setattr(publish, "write_table", dies)
+    with pytest.raises(KeyboardInterrupt):
+        build()
+    assert len(written) == 3 and rows_of(warehouse.read_warehouse(spark, folder)) == before
+    monkeypatch.undo()
+    assert rows_of(build()) == before and publish.publications(spark, folder).count() == 2
+
+
+def test_two_loads_at_once(spark, tmp_path, monkeypatch):
+    """Of two publications with the same number readers agree on one, and the other load is told."""
+    folder = str(tmp_path / "w")
+    publish.publish(spark, folder, "v-b", {})
+    before = publish.publications(spark, folder).collect()
+    real, calls = publish.publications, []
+
+    def stale(spark, directory):
+        calls.append(1)
+        return spark.createDataFrame([], publish.MANIFEST_SCHEMA) if len(calls) == 1 else real(spark, directory)
+
+    monkeypatch.setattr(publish, "publications", stale)
+    with pytest.raises(RuntimeError, match="another load"):
+        publish.publish(spark, folder, "v-a", {})
+    monkeypatch.undo()
+    assert publish.current_version(spark, folder) == "v-b" and len(before) == 1
+
+
+def test_keys_go_on_counting(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, *range(40)]), rng.choice("abc")) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "id int, kind string").repartition(5)
+    batches = [frame.filter("kind = 'a'"), frame.filter("kind <> 'c'"), frame.filter("kind = 'a'"), frame, frame.limit(0)]
+    path, known = str(tmp_path / "keys"), {}
+    for batch in batches:
+        found = appends.extend_key_map(batch, ["id", "kind"], "key", path).collect()
+        keys = {(r["id"], r["kind"]): r["key"] for r in found}
+        assert len(found) == len(keys) and sorted(keys.values()) == list(range(1, len(keys) + 1))
+        assert keys.items() >= known.items() and {tuple(r) for r in batch.distinct().collect()} <= set(keys)
+        known = keys
+    assert set(known) == set(rows)
+
+
+def test_appended_rows_are_numbered_behind_the_stored_ones(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    for low in (0, 50, 100):
+        appends.append_numbered(spark.range(low, low + 50).repartition(3), ["id"], "n", path)
+    assert {r["id"]: r["n"] for r in spark.read.parquet(path).collect()} == {i: i + 1 for i in range(150)}
+
+
 def test_warehouse_gates_the_keys_of_the_fact(spark, source, tmp_path):
     with pytest.raises(ValueError, match="references.date_key"):
         warehouse.build_warehouse(spark, source, str(tmp_path / "w"), "2024-01-01", 2015, 2020, minimum_rows={"dim_date": 1})

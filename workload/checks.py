@@ -260,8 +260,8 @@ def _(r):
     "dq_required_columns",
     "",
     lines(
-        ("orders", "required_columns", "o_orderkey,o_totalprice", "0"),
-        ("orders", "required_columns", "o_orderkey,full_name,status", "2"),
+        ("orders", "required_columns", "o_orderkey,o_totalprice", "(SELECT (count(o_orderkey) = 0)::INT + (count(o_totalprice) = 0)::INT FROM orders)"),
+        ("orders", "required_columns", "o_orderkey,full_name,status", "(SELECT 2 + (count(o_orderkey) = 0)::INT FROM orders)"),
     ),
 )
 def _(r):

@@ -327,6 +327,32 @@ def _(r):
     return keys.uniquify(named, "base", ["c_custkey"], "email", keys.suffix_before_at)
 
 
+@query(
+    "uniquify_colliding",
+    "",
+    """WITH RECURSIVE named AS (
+      SELECT c_custkey, lower(c_mktsegment) || '.' || lower(n_name)
+             || CASE WHEN c_custkey % 3 = 0 THEN (c_custkey % 5)::VARCHAR ELSE '' END AS base,
+             row_number() OVER (ORDER BY c_custkey) AS turn FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    given AS (
+      SELECT 0::BIGINT AS turn, NULL::BIGINT AS c_custkey, NULL::VARCHAR AS base, NULL::VARCHAR AS name, []::VARCHAR[] AS taken
+      UNION ALL
+      SELECT n.turn, n.c_custkey, n.base, free.name, list_append(g.taken, free.name)
+      FROM given g JOIN named n ON n.turn = g.turn + 1,
+      LATERAL (SELECT list_filter(
+        [n.base] || list_transform(range(1, len(list_filter(g.taken, lambda t: starts_with(t, n.base))) + 1), lambda i: n.base || i),
+        lambda t: NOT list_contains(g.taken, t))[1] AS name) free)
+    SELECT c_custkey, base, name FROM given WHERE turn > 0""",
+)
+def _(r):
+    """Names whose suffixed forms are themselves the base of other rows."""
+    customers, nations = r.table("customer"), r.table("nation")
+    digits = F.when(F.col("c_custkey") % 3 == 0, (F.col("c_custkey") % 5).cast("string")).otherwise("")
+    base = F.concat(F.lower("c_mktsegment"), F.lit("."), F.lower("n_name"), digits)
+    named = customers.join(nations, customers.c_nationkey == nations.n_nationkey).select("c_custkey", base.alias("base"))
+    return keys.uniquify(named, "base", ["c_custkey"], "name")
+
+
 @query(
     "distinct_pairs",
     "assignments",

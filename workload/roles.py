@@ -14,19 +14,32 @@ from pyspark.sql.types import StructType
 
 from tenura.operators.aggregates import distinct_pairs
 from tenura.operators.history import close_history
+from tenura.operators.skew import KeyProfile, profile_keys
+from tenura.settings import session_limits, use_profile
 from tenura.sources.readers import read_parquet
 
 AS_OF = "2002-01-01"
 
 _SCHEMAS: dict[tuple[str, str], StructType] = {}
+_PROFILES: dict[tuple[str, int], KeyProfile] = {}
+
+#: the columns that stand for an employee in the tables with many rows per employee
+EMPLOYEE_COLUMNS = {"orders": "o_custkey", "events": "user_id", "lineitem": "l_suppkey"}
 
 
 class Roles:
-    """Role tables by attribute; reads lazily."""
+    """Role tables by attribute; reads lazily. The hot keys of a folder are found once, by a pass over each table."""
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        limit = session_limits(spark).max_group_rows
+        if (directory, limit) not in _PROFILES:
+            profile = KeyProfile()
+            for table, column in EMPLOYEE_COLUMNS.items():
+                profile |= profile_keys(self.table(table), [[column]], limit).renamed(**{column: "employee_id"})
+            _PROFILES[directory, limit] = profile
+        use_profile(spark, _PROFILES[directory, limit])
 
     def table(self, name: str) -> DataFrame:
         """A test table; its schema is inferred once per folder, not by a job per read."""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tenura import schemas
-from tenura.plans import analytics, models, warehouse
+from tenura.plans import analytics, dimensions, models, warehouse
+from tenura.plans.extract import extract_all
 from tenura.settings import new_path
-from tenura.sources import readers, writers
+from tenura.sources import appends, publish, readers, writers
 from workload.registry import query
 from workload.reports import staff
 from workload.roles import AS_OF
@@ -216,6 +219,125 @@ def _(r):
     )
 
 
+@query(
+    "warehouse_versions",
+    "employees departments projects",
+    """SELECT * FROM (VALUES ('dim_date', 2922::BIGINT), ('dim_leave_type', 5::BIGINT)) t("table", row_count)
+    UNION ALL SELECT 'dim_employee', count(*) FROM employees UNION ALL SELECT 'dim_department', count(*) FROM departments
+    UNION ALL SELECT 'dim_project', count(*) FROM projects UNION ALL SELECT 'fact_employee_snapshot', count(*) FROM employees""",
+)
+def _(r):
+    """What readers see after a second load without departments has failed its gate, counted from the tables."""
+    folder = new_path(r.spark, "warehouse")
+    warehouse.build_warehouse(r.spark, r.source, folder, AS_OF, 1995, 2002, minimum_rows={"dim_date": 365})
+    broken = {**r.source, "departments": r.departments.limit(0)}
+    try:
+        warehouse.build_warehouse(r.spark, broken, folder, AS_OF, 1995, 2002, minimum_rows={"dim_department": 5})
+    except ValueError:
+        return readers.profile_tables(warehouse.read_warehouse(r.spark, folder)).select("table", "row_count")
+
+
+@query(
+    "published_counts",
+    "departments employees projects",
+    """SELECT 'dim_department' AS "table", count(*) AS row_count FROM departments
+    UNION ALL SELECT 'dim_employee', count(*) FROM employees UNION ALL SELECT 'dim_project', count(*) FROM projects""",
+)
+def _(r):
+    """The counts in the manifest, taken while the tables were written."""
+    folder, tables = new_path(r.spark, "staged"), {}
+    extracts = extract_all(r.source)
+    tables["dim_department"] = dimensions.dim_department(extracts["departments"])
+    tables["dim_employee"] = dimensions.dim_employee(extracts["employees"], AS_OF)
+    tables["dim_project"] = dimensions.dim_project(extracts["projects"])
+    version, counts = publish.stage(tables, folder, list(tables))
+    publish.publish(r.spark, folder, version, counts)
+    return publish.publications(r.spark, folder).select(F.explode("tables").alias("t")).select("t.table", "t.row_count")
+
+
+@query(
+    "append_keys",
+    "",
+    """SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal >= 0, c_custkey) AS customer_key FROM customer""",
+)
+def _(r):
+    """Customers in debt are loaded first, then all of them."""
+    customers, path = r.table("customer"), new_path(r.spark, "customer-keys")
+    appends.extend_key_map(customers.filter("c_acctbal < 0"), ["c_custkey"], "customer_key", path)
+    return appends.extend_key_map(customers, ["c_custkey"], "customer_key", path)
+
+
+@query(
+    "append_facts",
+    "",
+    """SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderstatus = 'O', o_orderkey) AS snapshot_id FROM orders""",
+)
+def _(r):
+    """Closed orders first, open ones appended with numbers that go on."""
+    facts, path = r.table("orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), new_path(r.spark, "facts")
+    for batch in (facts.filter("o_orderstatus <> 'O'"), facts.filter("o_orderstatus = 'O'")):
+        appends.append_numbered(batch.drop("o_orderstatus"), ["o_orderkey"], "snapshot_id", path)
+    return r.spark.read.parquet(path)
+
+
+@query(
+    "export_tables",
+    "employees departments",
+    """SELECT 'employees' AS "table", count(*) AS row_count, sum(employee_id)::BIGINT AS id_sum FROM employees
+    UNION ALL SELECT 'departments', count(*), sum(department_id)::BIGINT FROM departments""",
+)
+def _(r):
+    """Source tables exported as CSV folders and read back by their declared schemas."""
+    tables = {"employees": schemas.conform(r.employees, "employees"), "departments": schemas.conform(r.departments, "departments")}
+    paths = writers.export_tables(tables, new_path(r.spark, "exports"))
+    parts = [
+        readers.read_csv(r.spark, path, name).agg(
+            F.lit(name).alias("table"), F.count(F.lit(1)).alias("row_count"),
+            F.sum("employee_id" if name == "employees" else "department_id").cast("bigint").alias("id_sum"),
+        )
+        for name, path in paths.items()
+    ]
+    return parts[0].unionAll(parts[1])
+
+
+def _loaded_into(r, create, tables):
+    """Row counts of ``tables`` after they went into the catalog tables that ``create`` makes."""
+    database = f"schema_{uuid.uuid4().hex[:12]}"
+    folder = new_path(r.spark, database)
+    create(r.spark, database, folder)
+    for name, df in tables.items():
+        schemas.conform(df, name).write.mode("append").insertInto(f"{database}.{name}")
+    known = [t.name for t in r.spark.catalog.listTables(database)]
+    return readers.profile_tables({name: r.spark.table(f"{database}.{name}") for name in sorted(known)})
+
+
+@query(
+    "source_schema",
+    "departments employees projects",
+    """SELECT 'departments' AS "table", count(*) AS row_count, 5 AS column_count FROM departments
+    UNION ALL SELECT 'employees', count(*), 11 FROM employees UNION ALL SELECT 'projects', count(*), 8 FROM projects
+    UNION ALL SELECT * FROM (VALUES ('employee_projects', 0::BIGINT, 5), ('leave_requests', 0, 7),
+                             ('performance_reviews', 0, 7), ('salaries', 0, 7))""",
+)
+def _(r):
+    """The source tables created empty in the catalog, three of them loaded."""
+    loaded = {"departments": r.departments, "employees": r.employees, "projects": r.projects}
+    return _loaded_into(r, writers.create_source_schema, loaded)
+
+
+@query(
+    "warehouse_schema",
+    "departments",
+    """SELECT 'dim_department' AS "table", count(*) AS row_count FROM departments
+    UNION ALL SELECT * FROM (VALUES ('dim_date', 0::BIGINT), ('dim_employee', 0), ('dim_project', 0),
+                             ('dim_leave_type', 0), ('fact_employee_snapshot', 0))""",
+)
+def _(r):
+    """The warehouse tables created in the catalog, a dimension loaded."""
+    loaded = {"dim_department": dimensions.dim_department(extract_all(r.source)["departments"])}
+    return _loaded_into(r, writers.create_warehouse_schema, loaded).select("table", "row_count")
+
+
 @query(
     "model_build",
     "employees departments",
