@@ -37,7 +37,7 @@ SHARD_WORDS = 200_000
 
 _HASHES = WordHashes()
 _LAST = 2**63 - 1
-_SEGMENTS = "id long, version int, start int, n int, mark long, content long"
+_SEGMENTS = "id long, version long, start int, n int, mark long, content long"
 _REFERENCE = "mark long, content long, first long, words string"
 _RUNS = "mark long, content long, low int, high int, least long"
 
@@ -67,7 +67,7 @@ def _cut(window: int, gram: int):
                     raw = memoryview(words.tobytes())
                     contents += [xxhash.xxh3_64_intdigest(raw[8 * a : 8 * (a + b)]) for a, b in zip(start.tolist(), n.tolist(), strict=True)]
                     ids.append(np.full(len(start), key, np.int64))
-                    versions.append(np.full(len(start), version, np.int32))
+                    versions.append(np.full(len(start), version, np.int64))
                     starts.append(start.astype(np.int32))
                     sizes.append(n.astype(np.int32))
                     marks.append(mark.view(np.int64))
@@ -80,12 +80,16 @@ def _cut(window: int, gram: int):
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of the wanted segments of each document."""
+    """The words of the wanted segments of each document, of repeated rows once for each task."""
+    seen = set()
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             part = batch.slice(at, 64)
             rows = []
-            for key, body, wanted in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
+            for key, version, body, wanted in zip(*[part.column(i).to_pylist() for i in range(4)], strict=True):
+                if (key, version) in seen:
+                    continue
+                seen.add((key, version))
                 words = ascii_words(body)
                 rows += [(w["mark"], w["content"], key, " ".join(words[w["start"] : w["start"] + w["n"]])) for w in wanted]
             columns = list(zip(*rows, strict=True)) or [[]] * 4
@@ -255,23 +259,24 @@ def remove_repeats(
     keyed = own.df.withColumns(
         {
             "id": F.coalesce(own.col(id).cast("long"), F.lit(_LAST)),
-            "version": F.hash(own.col(text)),
+            "version": F.xxhash64(own.col(text)),
             "body": own.col(text),
         }
     )
     cut = materialize(keyed.select("id", "version", "body").mapInArrow(_cut(window, gram), _SEGMENTS), "segments")
-    shared = cut.groupBy("mark").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    found = materialize(cut.join(shared.select("mark"), "mark", "left_semi"), "shared")
+    # written before it is joined, so that the join has plain shuffles and a mark of many documents can be split
+    marks = cut.groupBy("mark").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    shared = materialize(marks.select("mark"), "shared-marks")
+    found = materialize(cut.join(shared, "mark", "left_semi"), "shared")
     wanted = (
         found.groupBy("mark", "content")
         .agg(F.min(F.struct("id", "version", "start", "n")).alias("first"))
         .groupBy(F.col("first.id").alias("id"), F.col("first.version").alias("version"))
         .agg(F.collect_list(F.struct("mark", "content", F.col("first.start").alias("start"), F.col("first.n").alias("n"))).alias("wanted"))
     )
-    bodies = keyed.select("id", "version", "body").join(wanted, ["id", "version"]).select("id", "body", "wanted")
-    reference = materialize(
-        bodies.mapInArrow(_fetch, _REFERENCE), "reference"
-    ).dropDuplicates(["mark", "content"])
+    bodies = keyed.select("id", "version", "body").join(wanted, ["id", "version"]).select("id", "version", "body", "wanted")
+    # a segment of a repeated row may be there once for each task; its spans are collected as a set
+    reference = materialize(bodies.mapInArrow(_fetch, _REFERENCE), "reference")
     runs = _sharded(reference).groupBy("shard", "one", "other").applyInPandas(_stream(window), _RUNS)
     spans = (
         found.join(materialize(runs, "runs"), ["mark", "content"])
