@@ -51,11 +51,11 @@ def drop_frequent_lines(
         .select("id", "version", "n", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")),
         "lines",
     )
-    frequent = (
-        lines.select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"))
-    ).where(F.col("docs") >= min_docs)
+    counts = lines.select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"))
+    # written before it is joined, so that the join has plain shuffles and a line of many documents can be split
+    frequent = materialize(counts.where(F.col("docs") >= min_docs).select("h1", "h2"), "frequent-lines")
     kept = (
-        lines.join(frequent.select("h1", "h2"), ["h1", "h2"])
+        lines.join(frequent, ["h1", "h2"])
         .groupBy("id", "version", "n")
         .agg(F.collect_set("pos").alias("gone"))
         .select(
