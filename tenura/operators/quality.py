@@ -86,6 +86,33 @@ def primary_key(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return _count_report(groups, F.coalesce(failing, F.lit(0)), table, "primary_key", columns)
 
 
+def key_checks(df: DataFrame, table: str, checks: list[tuple[str, list[str]]]) -> DataFrame:
+    """Several 'primary_key' and 'unique' checks from one scan and one shuffle, a row per check as by themselves.
+
+    The rows are expanded into one grouping set per key and counted by a
+    partial aggregate, so a key with many rows is one row per map task.
+    """
+    columns = list(dict.fromkeys(c for _, keys in checks for c in keys))
+    sets = [list(keys) for keys in dict.fromkeys(tuple(keys) for _, keys in checks)]
+    counted = df.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows"))
+    failing = []
+    for check, keys in checks:
+        # a bit for each column that is not in the set, the first column's the highest
+        own = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        has_null = reduce(Column.__or__, [F.col(c).isNull() for c in keys])
+        nulls = F.col("_rows") if check == "primary_key" else F.lit(0)
+        broken = F.when(has_null, nulls).when(F.col("_rows") > 1, 1).otherwise(0)
+        failing.append(F.coalesce(F.sum(F.when(F.col("_set") == own, broken)), F.lit(0)))
+    lines = F.array(
+        *[
+            F.struct(F.lit(check).alias("check"), F.lit(",".join(keys)).alias("columns"), F.col(f"_{i}").alias("failing_rows"))
+            for i, (check, keys) in enumerate(checks)
+        ]
+    )
+    found = counted.agg(*[f.alias(f"_{i}") for i, f in enumerate(failing)])
+    return _report(found.select(F.explode(lines).alias("line")).select("line.*"), table)
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, foreign_key: str, key: str) -> DataFrame:
     """(key, row_count) of child keys without a parent; NULL keys are allowed."""
     used = (

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tenura.functions.dates import as_of_date, date_key
 from tenura.functions.rules import equals_flag
@@ -15,6 +16,7 @@ from tenura.operators.aggregates import average_rating, leave_days, sum_or_zero
 from tenura.operators.history import current_rows, latest_by, month_ends
 from tenura.operators.joins import fan_out_left
 from tenura.settings import Limits
+from tenura.sources.appends import stored_or_empty
 
 
 def latest_rating(reviews: DataFrame, out: str = "performance_rating") -> DataFrame:
@@ -129,23 +131,31 @@ def monthly_snapshot(
     first,
     last,
     limits: Limits | None = None,
+    months: list | None = None,
 ) -> DataFrame:
     """One row per employee and month end in [first, last] from the hire month on.
 
+    ``months`` names the month ends to compute, by default all of them.
+
     Salary valid at the month end and approved leave days started in the month.
     Every interval is expanded to the month ends it covers, so the joins are
     equi-joins on (employee_id, month_end): hot employees spread over months
     and nothing is compared by range.
     """
     first, last = as_of_date(first), as_of_date(last)
+
+    def covered(low, high):
+        ends = month_ends(low, high)
+        return ends if months is None else F.array_intersect(ends, F.array(*[F.lit(m) for m in months]).cast("array<date>"))
+
     staff = employees.select(
-        "employee_id", "status", F.explode(month_ends(F.greatest(first, F.col("hire_date")), last)).alias("month_end")
+        "employee_id", "status", F.explode(covered(F.greatest(first, F.col("hire_date")), last)).alias("month_end")
     )
     until = F.least(last, F.coalesce(F.col("end_date"), last))
     paid = salaries.select(
         "employee_id",
         F.col("amount").alias("salary_amount"),
-        F.explode(month_ends(F.greatest(first, F.col("effective_date")), until)).alias("month_end"),
+        F.explode(covered(F.greatest(first, F.col("effective_date")), until)).alias("month_end"),
     )
     away = (
         leaves.filter((F.col("status") == "approved") & F.col("start_date").between(first, last))
@@ -162,3 +172,71 @@ def monthly_snapshot(
         F.coalesce("leave_days_taken", F.lit(0)).cast("int").alias("leave_days_taken"),
         equals_flag("status", "active").alias("is_active"),
     )
+
+
+def changed_months(
+    employees: DataFrame, salaries: DataFrame, leaves: DataFrame, first, last, since: DataFrame
+) -> DataFrame:
+    """(month_end) whose rows may differ since the stored snapshot, read off the rows that are newer than ``since``.
+
+    ``since`` holds one row with ``taken_at``. A changed employee touches all
+    months, a new one those from the hire on, a salary those from its start on
+    (the one before it ends there), a leave the month it starts in.
+    """
+    first, last = as_of_date(first), as_of_date(last)
+    newer = lambda df, column: df.filter(F.col(column).cast("timestamp") > since.scalar())
+    spans = [
+        newer(employees, "updated_at").select(
+            F.when(F.col("created_at").cast("timestamp") > since.scalar(), F.greatest(first, F.col("hire_date")))
+            .otherwise(first)
+            .alias("start"),
+            last.alias("end"),
+        ),
+        newer(salaries, "created_at").select(F.greatest(first, F.col("effective_date")).alias("start"), last.alias("end")),
+        newer(leaves.filter(F.col("start_date").between(first, last)), "created_at").select(
+            F.trunc("start_date", "month").alias("start"), F.last_day("start_date").alias("end")
+        ),
+    ]
+    earliest = spans[0].unionAll(spans[1]).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return earliest.unionAll(spans[2].distinct()).select(F.explode(month_ends(F.col("start"), F.col("end"))).alias("month_end")).distinct()
+
+
+def refresh_monthly_snapshot(
+    employees: DataFrame,
+    salaries: DataFrame,
+    leaves: DataFrame,
+    first,
+    last,
+    path: str,
+    taken_at,
+    limits: Limits | None = None,
+) -> list:
+    """Bring the stored snapshot at ``path`` up to date and return the month ends that were computed.
+
+    The snapshot is partitioned by ``date_key``; beside it one row per month
+    tells as of when it was computed. Only months that are missing there, or
+    that rows newer than the last run touch, are computed, and replace their
+    partition; the others are not read or written. ``taken_at`` is the time up
+    to which the sources have been loaded. Running again without new rows
+    writes nothing; a run that died is repeated, since a month is only noted
+    after its rows are there. Rows deleted from a source need a full refresh,
+    and so does a month that loses its last row.
+    """
+    spark = employees.sparkSession
+    noted = stored_or_empty(spark, f"{path}/taken", StructType.fromDDL("month_end date, taken_at timestamp"))
+    wanted = spark.range(1).select(F.explode(month_ends(as_of_date(first), as_of_date(last))).alias("month_end"))
+    missing = wanted.join(noted, "month_end", "left_anti")
+    latest = noted.groupBy("month_end").agg(F.max("taken_at").alias("taken_at"))
+    oldest = latest.agg(F.min("taken_at").alias("taken_at"))
+    touched = changed_months(employees, salaries, leaves, first, last, oldest).join(wanted, "month_end", "left_semi")
+    # at most one row per month
+    months = sorted(r["month_end"] for r in missing.unionAll(touched).distinct().collect())
+    if months:
+        rows = monthly_snapshot(employees, salaries, leaves, first, last, limits, months)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_key").parquet(f"{path}/rows")
+    done = noted.select("month_end").distinct().unionAll(missing).distinct()
+    if months or not latest.filter(F.col("taken_at") < F.lit(taken_at).cast("timestamp")).isEmpty():
+        done.select("month_end", F.lit(taken_at).cast("timestamp").alias("taken_at")).coalesce(1).write.mode("append").parquet(
+            f"{path}/taken"
+        )
+    return months

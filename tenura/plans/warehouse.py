@@ -137,8 +137,8 @@ def warehouse_checks(loaded: dict[str, DataFrame]) -> DataFrame:
 
 def _table_checks(tables, table):
     df = tables[table]
-    reports = [quality.primary_key(df, table, [PRIMARY_KEYS[table]])]
-    reports += [quality.unique(df, table, columns) for columns in UNIQUE_KEYS.get(table, [])]
+    keys = [("primary_key", [PRIMARY_KEYS[table]]), *[("unique", columns) for columns in UNIQUE_KEYS.get(table, [])]]
+    reports = [quality.key_checks(df, table, keys)]
     rules = [quality.not_null(c) for c in NOT_NULL.get(table, [])]
     rules += [quality.in_range(c, low, high) for c, (low, high) in RANGES.get(table, {}).items()]
     rules += [quality.max_length(c, limit) for c, limit in MAX_LENGTHS.get(table, {}).items()]

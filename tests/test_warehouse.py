@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from people import company
 from tenura import schemas
-from tenura.operators import quality
+from tenura.operators import aggregates, quality
 from tenura.operators.keys import surrogate_keys
 from tenura.plans import dimensions, extract, facts, models, staging, warehouse
 from tenura.settings import Limits
@@ -293,6 +293,66 @@ def test_appended_rows_are_numbered_behind_the_stored_ones(spark, tmp_path):
     assert {r["id"]: r["n"] for r in spark.read.parquet(path).collect()} == {i: i + 1 for i in range(150)}
 
 
+def test_refreshed_months(spark, tmp_path):
+    """Only missing and touched months are computed, and the stored rows equal a full computation."""
+    day = lambda text: date.fromisoformat(text)
+    people = [(i, "active", day("2020-01-15"), day("2020-01-15"), day("2020-01-15")) for i in (1, 2)]
+    pay = [(1, 100, day("2020-01-15"), None, day("2020-01-15")), (2, 70, day("2020-01-15"), None, day("2020-01-15"))]
+    away = [(1, "approved", day("2020-02-03"), day("2020-02-06"), day("2020-02-03"))]
+
+    def frames(people, pay, away):
+        return (
+            spark.createDataFrame(people, "employee_id int, status string, hire_date date, created_at date, updated_at date"),
+            spark.createDataFrame(pay, "employee_id int, amount int, effective_date date, end_date date, created_at date"),
+            spark.createDataFrame(away, "employee_id int, status string, start_date date, end_date date, created_at date"),
+        )
+
+    path = str(tmp_path / "m")
+
+    def refresh(tables, last, taken):
+        months = facts.refresh_monthly_snapshot(*tables, "2020-01-01", last, path, taken)
+        stored = spark.read.parquet(f"{path}/rows")
+        full = facts.monthly_snapshot(*tables, "2020-01-01", last)
+        assert sorted(map(str, stored.select(full.columns).collect())) == sorted(map(str, full.collect()))
+        return [str(m) for m in months]
+
+    first = frames(people, pay, away)
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "m").rglob("*.parquet")}
+    assert refresh(first, "2020-04-30", "2020-04-30") == ["2020-01-31", "2020-02-29", "2020-03-31", "2020-04-30"]
+    written = files()
+    assert refresh(first, "2020-04-30", "2020-04-30") == [] and files() == written
+    assert refresh(first, "2020-06-30", "2020-06-30") == ["2020-05-31", "2020-06-30"]
+    raised = [(1, 100, day("2020-01-15"), day("2020-05-09"), day("2020-01-15")), pay[1], (1, 120, day("2020-05-10"), None, day("2020-07-01"))]
+    later = [*away, (2, "approved", day("2020-03-01"), day("2020-03-09"), day("2020-07-02"))]
+    before = files()
+    assert refresh(frames(people, raised, later), "2020-06-30", "2020-07-05") == ["2020-03-31", "2020-05-31", "2020-06-30"]
+    kept = {f for f in before if "date_key=20200131" in str(f) or "date_key=20200229" in str(f) or "date_key=20200430" in str(f)}
+    assert len(kept) >= 3 and all(files()[f] == before[f] for f in kept)
+    changed = [people[0], (2, "terminated", day("2020-01-15"), day("2020-01-15"), day("2020-07-06"))]
+    assert len(refresh(frames(changed, raised, later), "2020-06-30", "2020-07-07")) == 6
+
+
+def test_key_checks_in_one_scan(spark):
+    rows = [(1, "a", None), (1, "b", 2), (None, "a", 2), (2, "b", 2), (3, None, 4)]
+    frame = spark.createDataFrame(rows, "id int, name string, other int")
+    checks = [("primary_key", ["id"]), ("unique", ["name"]), ("unique", ["name", "other"]), ("primary_key", ["other"]), ("unique", ["id"])]
+    alone = {"primary_key": quality.primary_key, "unique": quality.unique}
+    for df in (frame, frame.limit(0)):
+        got = quality.key_checks(df, "t", checks)
+        want = quality.combine([alone[check](df, "t", keys) for check, keys in checks])
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = quality.key_checks(frame, "t", checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 1
+
+
+def test_distinct_sketches_unite(spark):
+    frame = spark.range(60_000).selectExpr("id % 20000 AS value", "id % 7 AS part").unionAll(spark.createDataFrame([(None, 1)], "value long, part long"))
+    sketches = aggregates.distinct_sketches(frame, ["part"], "value")
+    whole = aggregates.united_count(sketches).first()[0]
+    assert abs(whole - 20_000) <= aggregates.sketch_error() * 20_000
+    assert sketches.count() == 7 and aggregates.united_count(sketches, ["part"]).count() == 7
+
+
 def test_warehouse_gates_the_keys_of_the_fact(spark, source, tmp_path):
     with pytest.raises(ValueError, match="references.date_key"):
         warehouse.build_warehouse(spark, source, str(tmp_path / "w"), "2024-01-01", 2015, 2020, minimum_rows={"dim_date": 1})

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tenura.operators import aggregates, history
 from tenura.operators.keys import attach_key, surrogate_keys
 from tenura.plans import dimensions, extract, facts, staging
+from tenura.settings import materialize, new_path
 from workload.registry import query
 from workload.roles import AS_OF
 
@@ -255,10 +257,7 @@ def _(r):
     return facts.fct_employee_snapshot(people, places, pay, r.reviews, r.leaves, r.assignments, AS_OF)
 
 
-@query(
-    "monthly_snapshot",
-    "employees salaries leaves",
-    """, months AS (
+MONTHLY = """, months AS (
       SELECT last_day(CAST(d AS DATE)) AS month_end
       FROM generate_series(DATE '1997-01-01', DATE '1999-12-01', INTERVAL 1 MONTH) t(d))
     SELECT e.employee_id, CAST(strftime(m.month_end, '%Y%m%d') AS INTEGER) AS date_key,
@@ -269,7 +268,44 @@ def _(r):
          AND coalesce(s.end_date, DATE '9999-12-31') >= m.month_end
     LEFT JOIN (SELECT employee_id, last_day(start_date) AS month_end, sum(end_date - start_date) AS days
                FROM leaves WHERE status = 'approved' GROUP BY 1, 2) l
-      ON l.employee_id = e.employee_id AND l.month_end = m.month_end""",
-)
+      ON l.employee_id = e.employee_id AND l.month_end = m.month_end"""
+
+
+@query("monthly_snapshot", "employees salaries leaves", MONTHLY)
 def _(r):
     return facts.monthly_snapshot(r.employees, r.salaries, r.leaves, "1997-01-01", "1999-12-31")
+
+
+@query("monthly_refresh", "employees salaries leaves", MONTHLY)
+def _(r):
+    """The stored snapshot after a first run on what was known in June 1998 and a second one on everything."""
+    path, day = new_path(r.spark, "monthly"), "1998-06-30"
+    known = r.salary_rows.filter(F.col("created_at") <= day)
+    before = history.close_history(known, "employee_id", "effective_date", "salary_id")
+    people, away = (df.filter(F.col("created_at") <= day) for df in (r.employees, r.leaves))
+    months = ("1997-01-01", "1999-12-31", path)
+    facts.refresh_monthly_snapshot(people, before, away, *months, f"{day} 00:00:00")
+    facts.refresh_monthly_snapshot(r.employees, r.salaries, r.leaves, *months, f"{AS_OF} 00:00:00")
+    stored = r.spark.read.parquet(f"{path}/rows")
+    return stored.select("employee_id", "date_key", "salary_amount", "leave_days_taken", "is_active")
+
+
+@query(
+    "approx_distinct",
+    "",
+    """SELECT o_orderpriority, count(DISTINCT o_custkey) AS exact_count, true AS within_bound FROM orders GROUP BY 1
+    UNION ALL SELECT 'all', count(DISTINCT o_custkey), true FROM orders""",
+)
+def _(r):
+    """Distinct customers from stored sketches per day and priority, united per priority and over all, beside the exact counts."""
+    orders = r.table("orders")
+    daily = orders.withColumn("day", F.col("o_orderdate").cast("date"))
+    sketches = materialize(aggregates.distinct_sketches(daily, ["day", "o_orderpriority"], "o_custkey"), "sketches")
+    estimates = aggregates.united_count(sketches, ["o_orderpriority"], "estimate").unionAll(
+        aggregates.united_count(sketches, out="estimate").select(F.lit("all").alias("o_orderpriority"), "estimate")
+    )
+    exact = orders.groupBy("o_orderpriority").agg(F.countDistinct("o_custkey").alias("exact_count"))
+    exact = exact.unionAll(orders.agg(F.lit("all"), F.countDistinct("o_custkey")))
+    allowed = F.col("exact_count") * aggregates.sketch_error()
+    within = F.abs(F.col("estimate") - F.col("exact_count")) <= allowed
+    return exact.join(estimates, "o_orderpriority").select("o_orderpriority", "exact_count", within.alias("within_bound"))
