@@ -83,7 +83,7 @@ def fit(
     )
     table = np.array([list(r) for r in sample.collect()], dtype=float).reshape(-1, len(names) + 1)
     good, x = table[:, 0], table[:, 1:]
-    share = good.mean() if len(good) else 0.5
+    share = good.mean() if len(good) else 0.0
     if not 0 < share < 1:
         return Model(names, (0.0,) * len(names), 0.0, 0.0)
     middle, spread = x.mean(0), x.std(0) + 1e-9
