@@ -112,8 +112,11 @@ def usable(vector: Column) -> Column:
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
+    """The vectors in double precision, each times a power of two that brings its largest component near 1."""
     rows = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+    _, exponents = np.frexp(np.abs(x).max(1, initial=0.0))
+    return np.ldexp(x, -exponents[:, None])
 
 
 def _rows(column: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -219,6 +222,26 @@ def _parts(rows: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _scored(indexed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, rep, score) of the best vectors of each bucket, (bucket, id, vector), for each query that visits it.
+
+    Large buckets are dealt in parts, each met by all parts of their queries.
+    """
+    rows_of, asked_of = _parts(indexed.select("bucket"), "rows_parts"), _parts(asked.select("bucket"), "query_parts")
+
+    def dealt(part: DataFrame, own: str, other: str, is_query: bool) -> DataFrame:
+        place = F.pmod(F.xxhash64("id"), F.coalesce(own, F.lit(1))).cast("int").alias("place")
+        met = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)).alias("met")
+        both = part.join(rows_of, "bucket", "left").join(asked_of, "bucket", "left")
+        chosen = both.select("bucket", place, met, F.lit(is_query).alias("is_query"), "id", "vector")
+        one, two = ("met", "place") if is_query else ("place", "met")
+        return chosen.select("bucket", F.col(one).alias("one"), F.col(two).alias("other"), "is_query", "id", "vector")
+
+    met = dealt(indexed, "rows_parts", "query_parts", False).unionAll(dealt(asked, "query_parts", "rows_parts", True))
+    order = ["bucket", "one", "other", "is_query"]
+    return met.repartition("bucket", "one", "other").sortWithinPartitions(*order).mapInArrow(_ranked(k), _ROWS)
+
+
 def nearest(
     table: DataFrame,
     queries: Column,
@@ -233,7 +256,9 @@ def nearest(
 
     ``queries`` is a condition on ``table``'s columns. Nearness is the cosine,
     in double precision; ties go to the smaller id. A row is no candidate of
-    its own; with fewer candidates than ``k`` there are fewer rows. All
+    its own; with fewer candidates than ``k`` there are fewer rows. A query
+    whose buckets hold fewer than ``k`` candidates is compared with all rows.
+    Very large and very small components neither over- nor underflow. All
     vectors must have the same length.
 
     Vectors that are null, zero, empty, of another length than most, or hold
@@ -269,25 +294,21 @@ def nearest(
     spread = rows.where("asked").select("id", "vector").repartition(partitions, "id")
     asked = spread.mapInArrow(_hashed(index, True, kind), schema)
     asked = materialize(asked, "probes")
-    rows_of, asked_of = _parts(indexed.select("bucket"), "rows_parts"), _parts(asked.select("bucket"), "query_parts")
-
-    def dealt(part: DataFrame, own: str, other: str, is_query: bool) -> DataFrame:
-        place = F.pmod(F.xxhash64("id"), F.coalesce(own, F.lit(1))).cast("int").alias("place")
-        met = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)).alias("met")
-        both = part.join(rows_of, "bucket", "left").join(asked_of, "bucket", "left")
-        chosen = both.select("bucket", place, met, F.lit(is_query).alias("is_query"), "id", "vector")
-        one, two = ("met", "place") if is_query else ("place", "met")
-        return chosen.select("bucket", F.col(one).alias("one"), F.col(two).alias("other"), "is_query", "id", "vector")
-
-    met = dealt(indexed, "rows_parts", "query_parts", False).unionAll(dealt(asked, "query_parts", "rows_parts", True))
-    order = ["bucket", "one", "other", "is_query"]
-    scored = met.repartition("bucket", "one", "other").sortWithinPartitions(*order).mapInArrow(_ranked(k), _ROWS)
+    scored = _scored(indexed, asked, k)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    named = (
-        scored.distinct()
-        .join(classes.select("rep", "ids"), "rep")
-        .select("query_id", "score", F.explode("ids").alias("vec_id"))
-        .where("vec_id <> query_id")
-    )
-    ranked = named.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+
+    def named(scored: DataFrame) -> DataFrame:
+        ids = scored.distinct().join(classes.select("rep", "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id"))
+        ranked = ids.where("vec_id <> query_id").distinct().withColumn("rank", F.row_number().over(by_query))
+        return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    ranked = materialize(named(scored), "ranked")
+    # queries whose buckets held too few candidates meet all vectors, block by block
+    complete = ranked.groupBy("query_id").agg(F.max("rank").alias("most")).where(F.col("most") == k)
+    short = materialize(spread.join(complete, F.col("id") == F.col("query_id"), "left_anti").select("id", "vector"), "short")
+    if short.isEmpty():
+        return ranked
+    everywhere = F.lit(0).cast("long").alias("bucket")
+    all_rows = classes.select(everywhere, F.col("rep").alias("id"), "vector")
+    exact = named(_scored(all_rows, short.select(everywhere, "id", "vector"), k))
+    return ranked.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(exact)
