@@ -353,6 +353,30 @@ def _open(left: DataFrame, capacity: int) -> DataFrame:
     )
 
 
+def _waiting(left: DataFrame, capacity: int) -> tuple[int, int]:
+    """(size, number of pieces up to it): the largest size that fits a gap which sequences of larger pieces leave.
+
+    Only the number of pieces of each size is looked at, at most ``capacity``
+    rows; the sequences are those that ``_open`` fills, from the largest on.
+    """
+    sizes = sorted(((r["size"], r["count"]) for r in left.groupBy("size").count().collect()), reverse=True)
+    used, widest = capacity + 1, 0
+    for i, (size, count) in enumerate(sizes):
+        if i and widest >= size:
+            return size, sum(n for _, n in sizes[i:])
+        if used + size <= capacity:
+            more = min(count, (capacity - used) // size)
+            used, count = used + more * size, count - more
+        if count:
+            if used <= capacity:
+                widest = max(widest, capacity - used)
+            each = capacity // size
+            if count > each:
+                widest = max(widest, capacity - each * size)
+            used = ((count - 1) % each + 1) * size
+    return 0, 0
+
+
 def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(key, seq, offset) for each row (key long, unique; size int, 1 to ``capacity``) of ``lengths``."""
     bound = capacity // 2
@@ -373,29 +397,35 @@ def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         left = small.where((F.col("size") > low) & (F.col("size") <= (limits[k - 1] if k else bound)))
         # gaps that no piece of the class fits: those a sweep leaves as they are find none later either
         idle = [gaps.where(F.col("open") <= low).select("seq", "open")]
-        gaps, slow = gaps.where(F.col("open") > low), False
+        gaps = gaps.where(F.col("open") > low)
         while count:
-            step = _fill_gaps(left, gaps, count, capacity) if slow else None
-            if step:
-                step, count = step
+            slow = False
+            while count:
+                step = _fill_gaps(left, gaps, count, capacity) if slow else None
+                if step:
+                    step, count = step
+                    placed.append(step.where("key is not null and seq is not null"))
+                    gaps, left = step.where(f"seq is not null and open > {low}"), step.where("seq is null")
+                    idle.append(step.where(f"seq is not null and open > 0 and open <= {low}").select("seq", "open"))
+                    if not count:
+                        break
+                step, still = _step(left, gaps, capacity)
                 placed.append(step.where("key is not null and seq is not null"))
-                gaps, left = step.where(f"seq is not null and open > {low}"), step.where("seq is null")
-                idle.append(step.where(f"seq is not null and open > 0 and open <= {low}").select("seq", "open"))
-                if not count:
+                taken = f"key is not null and open > {low}"
+                gaps, left = step.where(f"seq is not null and {taken}"), step.where("seq is null")
+                idle.append(step.where(f"seq is not null and open > 0 and not ({taken})").select("seq", "open"))
+                progress, count = count - still, still
+                if not progress:
                     break
-            step, still = _step(left, gaps, capacity)
-            placed.append(step.where("key is not null and seq is not null"))
-            taken = f"key is not null and open > {low}"
-            gaps, left = step.where(f"seq is not null and {taken}"), step.where("seq is null")
-            idle.append(step.where(f"seq is not null and open > 0 and not ({taken})").select("seq", "open"))
-            progress, count = count - still, still
-            if not progress:
-                break
-            slow = slow or progress < PROGRESS * (progress + still) + 1
-        if count:
-            opened = _open(left, capacity)
-            placed.append(opened)
-            idle.append(opened.where("open > 0").select("seq", "open"))
+                slow = slow or progress < PROGRESS * (progress + still) + 1
+            if count:
+                # the pieces that fit the gaps of new sequences wait for them
+                waiting, count = _waiting(left, capacity)
+                opened = _open(left.where(F.col("size") > waiting), capacity)
+                placed.append(opened)
+                idle.append(opened.where(f"open > 0 and open <= {low}").select("seq", "open"))
+                gaps = gaps.select("seq", "open").unionAll(opened.where(f"open > {low}").select("seq", "open"))
+                left = left.where(F.col("size") <= waiting)
         gaps = gaps.select("seq", "open")
         for more in idle:
             gaps = gaps.unionAll(more)
