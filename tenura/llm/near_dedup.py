@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenura.llm.components import components
@@ -44,7 +44,7 @@ _ADD = _rng.integers(0, 2**63, LONG, np.uint64)
 _HASHES = WordHashes()
 
 _SIGNATURES = (
-    "id long, n long, h1 long, h2 long, " + ", ".join(f"chunk{c} long" for c in range(CHUNKS))
+    "id long, row long, n long, h1 long, h2 long, " + ", ".join(f"chunk{c} long" for c in range(CHUNKS))
 )
 _SETS = "id long, n long, signature binary, members binary"
 
@@ -78,39 +78,51 @@ def _table(rows: list[tuple], types: list[pa.DataType], schema: str) -> pa.Recor
 
 
 def _signatures(words: int):
-    types = [pa.int64()] * (4 + CHUNKS)
+    types = [pa.int64()] * (5 + CHUNKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows = []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for key, row, text in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
                     members = shingles(text, words)
                     if not len(members):
-                        rows.append((key, 0, *[None] * (2 + CHUNKS)))
+                        rows.append((key, row, 0, *[None] * (2 + CHUNKS)))
                         continue
-                    digest = xxhash.xxh3_128_intdigest(members.tobytes())
-                    both = np.array([digest >> 64, digest & (2**64 - 1)], np.uint64)
                     symbols = (minima(members, SYMBOLS) >> np.uint64(48)).reshape(CHUNKS, CHUNK)
                     chunks = np.bitwise_or.reduce(symbols << (np.arange(CHUNK, dtype=np.uint64) * np.uint64(16)), axis=1)
-                    rows.append((key, len(members), *_signed(both).tolist(), *_signed(chunks).tolist()))
+                    rows.append((key, row, len(members), *_content(members), *_signed(chunks).tolist()))
                 yield _table(rows, types, _SIGNATURES)
 
     return run
 
 
+def _content(members: np.ndarray) -> list[int]:
+    """Two 64-bit hashes of a set, as signed numbers; the first is the key of its class."""
+    digest = xxhash.xxh3_128_intdigest(members.tobytes())
+    return _signed(np.array([digest >> 64, digest & (2**64 - 1)], np.uint64)).tolist()
+
+
 def _full_sets(words: int):
+    """The sets of the wanted classes, each once for a task; rows with the same row key come to one task."""
     types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows = []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if seen.issuperset(wanted):
+                        continue
                     members = shingles(text, words)
-                    signature = (minima(members, LONG) >> np.uint64(56)).astype(np.uint8).tobytes() if len(members) else b""
+                    key = _content(members)[0]
+                    if key in seen or key not in wanted:
+                        continue
+                    seen.add(key)
+                    signature = (minima(members, LONG) >> np.uint64(56)).astype(np.uint8).tobytes()
                     # six bytes of each hash tell two sets apart as well: a false match has odds of 1e-9 a pair
                     short = np.sort(members & np.uint64(2**48 - 1))
                     packed = short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
@@ -248,9 +260,10 @@ def _links(classes: DataFrame, texts: DataFrame, percent: int, words: int) -> Da
     middle = weighted.groupBy("tag", "rest").agg(F.max(F.struct("weight", -F.col("id"))).alias("top")).select(
         "tag", "rest", (-F.col("top.col2")).alias("pivot")
     )
-    sets = materialize(
-        texts.join(central.select("id"), "id", "left_semi").select("id", "body").mapInArrow(_full_sets(words), _SETS), "sets"
-    )
+    wanted = classes.join(central.select("id"), "id").groupBy("row").agg(F.collect_set("id").alias("wanted"))
+    # dealt by the row key, so that repeated rows meet and give their set once
+    dealt = texts.repartition("row").join(wanted, "row").select("body", "wanted")
+    sets = materialize(dealt.mapInArrow(_full_sets(words), _SETS), "sets")
     limit = most_different(percent)
     chunks = [f"chunk{c}" for c in range(CHUNKS)]
     marks = sets.select("id", "n", "signature")
@@ -308,18 +321,7 @@ def near_components(
     """
     if percent < 70:
         raise ValueError("similarities below 70 percent need other chunks")
-    texts = docs.select(docs[f"`{id}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("body"))
-    signed = materialize(texts.mapInArrow(_signatures(words), _SIGNATURES), "signatures")
-    classes = materialize(
-        signed.where("n > 0 and id is not null")
-        .groupBy("h1", "h2")
-        .agg(F.min("id").alias("id"), *[F.min(f"chunk{c}").alias(f"chunk{c}") for c in range(CHUNKS)]),
-        "classes",
-    )
-    roots = components(_links(classes, texts, percent, words))
-    known = classes.select("h1", "h2", "id").join(roots, F.col("id") == F.col("node"), "left").select(
-        "h1", "h2", F.coalesce("root", "id").alias("component")
-    )
+    signed, known = _classes(docs, percent, words, id, text)
     joined = signed.join(known, ["h1", "h2"], "left")
     component = F.coalesce("component", "id")
     return joined.select(
@@ -330,12 +332,70 @@ def near_components(
     )
 
 
+def _row_key(id: Column, text: Column) -> Column:
+    """The id, for rows without one a hash of their text."""
+    return F.coalesce(id.cast("long"), F.xxhash64(text))
+
+
+def _classes(docs: DataFrame, percent: int, words: int, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, row, n, h1, h2) of every row, and (h1, h2, class_row, component, first) of every class of equal sets.
+
+    A class is known by its content, h1; ``component`` is the smallest id of
+    its component, null if no row there has one, and ``first`` tells that the
+    class is the component's first by content.
+    """
+    texts = docs.select(
+        docs[f"`{id}`"].cast("long").alias("id"),
+        docs[f"`{text}`"].alias("body"),
+        _row_key(docs[f"`{id}`"], docs[f"`{text}`"]).alias("row"),
+    )
+    signed = materialize(texts.select("id", "row", "body").mapInArrow(_signatures(words), _SIGNATURES), "signatures")
+    chunks = [F.min(f"chunk{c}").alias(f"chunk{c}") for c in range(CHUNKS)]
+    classes = materialize(
+        signed.where("n > 0")
+        .groupBy("h1", "h2")
+        .agg(F.min("id").alias("least"), F.min("row").alias("row"), *chunks)
+        .withColumn("id", F.col("h1")),
+        "classes",
+    )
+    roots = components(_links(classes, texts, percent, words))
+    rooted = materialize(
+        classes.select("h1", "h2", "id", "least", "row")
+        .join(roots, F.col("id") == F.col("node"), "left")
+        .select("h1", "h2", "id", "least", "row", F.coalesce("root", "id").alias("root")),
+        "rooted",
+    )
+    named = rooted.groupBy("root").agg(F.min("least").alias("component"), F.min("id").alias("head"))
+    known = rooted.join(materialize(named, "components"), "root")
+    return signed.select("id", "row", "n", "h1", "h2"), known.select(
+        "h1", "h2", F.col("row").alias("class_row"), "component", (F.col("id") == F.col("head")).alias("first")
+    )
+
+
 def keep_one(
     docs: DataFrame, percent: int = 80, words: int = WORDS, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The documents with the smallest id of each component, with their columns. Rows repeating an id stay together."""
+    """The documents with the smallest id of each component, with their columns.
+
+    Rows repeating an id stay or go together. Rows with a null id go if their
+    component has an id; if it has none, one row of it stays. Null, empty and
+    blank texts are linked with nothing and stay. An empty table gives an empty
+    table.
+    """
     own = Guarded(docs)
-    gone = near_components(docs, percent, words, id, text).where(~F.col("kept") & F.col("doc_id").isNotNull())
-    return own.df.join(
-        gone.select(F.col("doc_id").alias("gone_id")).distinct(), own.col(id) == F.col("gone_id"), "left_anti"
-    ).select(*own.restored())
+    signed, known = _classes(docs, percent, words, id, text)
+    gone = (
+        signed.where("id is not null and n > 0")
+        .join(known, ["h1", "h2"])
+        .where("id <> component")
+        .select(F.col("id").alias("gone_id"))
+        .distinct()
+    )
+    named = own.df.where(own.col(id).isNotNull()).join(gone, own.col(id) == F.col("gone_id"), "left_anti")
+    nameless = own.df.where(own.col(id).isNull()).withColumn("row", _row_key(own.col(id), own.col(text)))
+    blank = signed.where("id is null and n = 0").select("row").distinct()
+    chosen = known.where("component is null and first").select(F.col("class_row").alias("row"))
+    rest = nameless.join(blank, "row", "left_semi").unionByName(
+        nameless.join(chosen, "row", "left_semi").dropDuplicates(["row"])
+    )
+    return named.select(*own.restored()).unionAll(rest.select(*own.restored()))
