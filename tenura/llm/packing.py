@@ -39,6 +39,9 @@ CLASSES = (8, 32, 128)
 #: once a step places less than this share of its open pieces, gaps take several at once
 PROGRESS = 0.02
 
+#: pieces wait for the gaps of new sequences if they fit at least this share of them
+WORTHWHILE = 0.25
+
 _PIECES = "key long, id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
@@ -354,26 +357,20 @@ def _open(left: DataFrame, capacity: int) -> DataFrame:
 
 
 def _waiting(left: DataFrame, capacity: int) -> tuple[int, int]:
-    """(size, number of pieces up to it): the largest size that fits a gap which sequences of larger pieces leave.
+    """(size, number of pieces up to it): the size from which on pieces wait for the gaps of new sequences.
 
-    Only the number of pieces of each size is looked at, at most ``capacity``
-    rows; the sequences are those that ``_open`` fills, from the largest on.
+    That is the largest one that fits the gaps of at least ``WORTHWHILE`` of
+    the sequences which the larger pieces open; (0, 0) if there is none. Only
+    the number of pieces of each size is looked at, at most ``capacity`` rows.
     """
     sizes = sorted(((r["size"], r["count"]) for r in left.groupBy("size").count().collect()), reverse=True)
-    used, widest = capacity + 1, 0
+    gaps: list[tuple[int, int]] = []
     for i, (size, count) in enumerate(sizes):
-        if i and widest >= size:
+        usable = sum(n for gap, n in gaps if gap >= size)
+        if usable and usable >= WORTHWHILE * sum(n for _, n in gaps):
             return size, sum(n for _, n in sizes[i:])
-        if used + size <= capacity:
-            more = min(count, (capacity - used) // size)
-            used, count = used + more * size, count - more
-        if count:
-            if used <= capacity:
-                widest = max(widest, capacity - used)
-            each = capacity // size
-            if count > each:
-                widest = max(widest, capacity - each * size)
-            used = ((count - 1) % each + 1) * size
+        each = capacity // size
+        gaps.append((capacity - each * size, -(-count // each)))
     return 0, 0
 
 
@@ -419,8 +416,9 @@ def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                     break
                 slow = slow or progress < PROGRESS * (progress + still) + 1
             if count:
-                # the pieces that fit the gaps of new sequences wait for them
-                waiting, count = _waiting(left, capacity)
+                # long pieces that fit the gaps of new sequences wait for them; the gaps that shorter pieces
+                # leave are smaller than an eighth of a sequence and go to the next classes
+                waiting, count = _waiting(left, capacity) if not k else (0, 0)
                 opened = _open(left.where(F.col("size") > waiting), capacity)
                 placed.append(opened)
                 idle.append(opened.where(f"open > 0 and open <= {low}").select("seq", "open"))
