@@ -307,7 +307,7 @@ def _loaded_into(r, create, tables):
     create(r.spark, database, folder)
     for name, df in tables.items():
         schemas.conform(df, name).write.mode("append").insertInto(f"{database}.{name}")
-    known = [t.name for t in r.spark.catalog.listTables(database)]
+    known = [t.name for t in r.spark.catalog.listTables(database) if not t.isTemporary]
     return readers.profile_tables({name: r.spark.table(f"{database}.{name}") for name in sorted(known)})
 
 
