@@ -31,7 +31,7 @@ def test_warehouse_job(spark, folder, tmp_path, monkeypatch):
         main(["warehouse", "--source", folder, "--target", str(tmp_path / "small"), "--as-of", "2024-01-01"])
     monkeypatch.setattr(warehouse, "MINIMUM_ROWS", {"dim_date": 365})
     main(["warehouse", "--source", folder, "--target", str(tmp_path / "wh"), "--as-of", "2024-01-01"])
-    assert spark.read.parquet(str(tmp_path / "wh" / "dim_date")).count() == 4383
+    assert warehouse.read_warehouse(spark, str(tmp_path / "wh"))["dim_date"].count() == 4383
 
 
 def test_models_job_fails_on_a_broken_test(spark, folder, tmp_path):
