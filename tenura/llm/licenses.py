@@ -3,8 +3,9 @@
 A unit of text (a run of consecutive lines, up to the whole document) is put
 into a canonical form: copyright lines out, lower case, equivalent spellings
 unified, everything but letters and digits a single space. Its SHA-256 digest is
-looked up among the digests of known license texts, so a unit matches only as a
+joined to the digests of known license texts, so a unit matches only as a
 whole. Only runs that begin like a known text and are as long as one are hashed.
+Equal canonical forms are joined once.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenura.llm.text import Guarded
+from tenura.settings import materialize
 
 # License texts and the notices that stand for a license.
 _GRANT_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -248,7 +250,7 @@ COPYRIGHT_LINE = (
 #: characters by which the beginning of a known text is found
 HEAD = 16
 
-_FOUND = "licenses array<string>, whole_text boolean, n_units long"
+_RUNS = "array<struct<start: int, end: int, digest: string>>"
 
 
 def _canonical_lines(text: Column) -> Column:
@@ -281,45 +283,33 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = Non
     )
 
 
-def _matches(form: str, lengths: dict[str, list[int]], known: dict[str, str]) -> list[tuple[int, int, str]]:
-    """(start, end, digest) of the runs of lines of a form that are a known text, without those inside another."""
+def _runs(form: str, lengths: dict[str, list[int]]) -> list[tuple[int, int, str]]:
+    """(start, end, digest) of the runs of lines of a form that begin like a known text and are as long as one."""
     flat, starts, at = form.replace("\n", " "), [], 0
     for line in form.split("\n"):
         starts.append(at)
         at += len(line) + 1
     ends = {s - 1 for s in starts[1:]} | {len(form)}
     shortest = min(map(len, lengths), default=0)
-    found, covered = [], 0
+    runs = []
     for s in starts:
-        own = []
         for n in range(shortest, HEAD + 1):
             for length in lengths.get(flat[s : s + n], ()) if s + n <= len(flat) else ():
-                if s + length in ends and s + length > covered:
-                    digest = hashlib.sha256(flat[s : s + length].encode()).hexdigest()
-                    if digest in known:
-                        own.append((s, s + length, digest))
-        if own:
-            found.append(max(own, key=lambda m: m[1]))
-            covered = found[-1][1]
-    return found
-
-
-def _scan(table: list[tuple[str, str, int, str]]):
-    known = {digest: license for license, _, _, digest in table}
+                if s + length in ends:
+                    runs.append((s, s + length, hashlib.sha256(flat[s : s + length].encode()).hexdigest()))
+    return runs
+
+
+def _candidates(shapes: list[tuple[str, int]]):
     lengths: dict[str, set[int]] = {}
-    for _, head, length, _ in table:
+    for head, length in shapes:
         lengths.setdefault(head, set()).add(length)
     ordered = {head: sorted(own) for head, own in lengths.items()}
 
-    def scan(forms: pd.Series) -> pd.DataFrame:
-        rows = []
-        for form in forms:
-            found = _matches(form, ordered, known) if form else []
-            whole = any(s == 0 and e == len(form) for s, e, _ in found)
-            rows.append((sorted({known[d] for *_, d in found}), whole, len({d for *_, d in found})))
-        return pd.DataFrame(rows, columns=["licenses", "whole_text", "n_units"])
+    def candidates(forms: pd.Series) -> pd.Series:
+        return forms.map(lambda form: _runs(form, ordered) if form else [])
 
-    return scan
+    return candidates
 
 
 def scan_licenses(
@@ -341,17 +331,53 @@ def scan_licenses(
     are asked for then).
 
     Null, empty or matchless text gives an empty list, false and 0. Repeated
-    rows are matched each for itself. An empty table gives an empty table.
+    rows each come back; ids play no part. An empty table gives an empty table.
     Columns of ``docs`` with the names of the new ones stand before them.
     """
     words = markers if markers is not None else MARKERS if known is None else []
+    spark = docs.sparkSession
     own = Guarded(docs)
     body = own.col(text)
     marked = F.lit(not words)
     for word in words:
         marked = marked | F.contains(F.lower(body), F.lit(word))
-    digests = known_digests(docs.sparkSession, known).select("license_id", "head", "length", "digest")
-    table = [tuple(r) for r in digests.collect()] + ([] if known else KNOWN_DIGESTS)
-    scan = F.pandas_udf(_scan(table), _FOUND)
-    found = own.df.withColumn("found", scan(F.when(marked, _canonical_lines(body))))
-    return found.select(*own.restored(), "found.licenses", "found.whole_text", "found.n_units")
+    # one row for each known text: the list given bounds what is collected here and broadcast below
+    listed = [tuple(r) for r in known_digests(spark, known).select("license_id", "head", "length", "digest").collect()]
+    listed += [] if known else KNOWN_DIGESTS
+    candidates = F.pandas_udf(_candidates([(head, length) for _, head, length, _ in listed]), _RUNS)
+    scanned = own.df.withColumn("form", F.when(marked, _canonical_lines(body))).withColumn("runs", candidates("form"))
+    holds = F.coalesce(F.size("runs") > 0, F.lit(False))
+    keyed = scanned.withColumn("form_key", F.when(holds, F.sha2("form", 256)))
+    found = _units(keyed, spark.createDataFrame(listed, "license_id string, head string, length int, digest string"))
+    none = {"licenses": F.array().cast("array<string>"), "whole_text": F.lit(False), "n_units": F.lit(0).cast("long")}
+
+    def finished(rows: DataFrame) -> DataFrame:
+        return rows.select(*own.restored(), *[F.coalesce(F.col(name), empty).alias(name) for name, empty in none.items()])
+
+    # only documents with a candidate are shuffled for the join; the join has no row for the others
+    matched = keyed.where(holds).join(found, "form_key", "left")
+    rest = keyed.where(~holds)
+    for name in none:
+        rest = rest.withColumn(name, F.lit(None).cast(found.schema[name].dataType))
+    return finished(matched).unionAll(finished(rest))
+
+
+def _units(keyed: DataFrame, known: DataFrame) -> DataFrame:
+    """(form_key, licenses, whole_text, n_units) of the distinct forms that hold a known text.
+
+    The digests of the candidate runs, the entire text among them, are
+    hash-joined to the known digests. Of the matches of a form those inside
+    another one go; a form has at most as many as its text has lines and
+    the known texts have lengths.
+    """
+    runs = keyed.select("form_key", F.length("form").alias("size"), F.explode("runs").alias("run"))
+    runs = runs.select("form_key", "size", F.col("run.start").alias("start"), F.col("run.end").alias("end"), F.col("run.digest").alias("digest"))
+    matches = runs.join(F.broadcast(known.select("digest", "license_id")), "digest").distinct()
+    before = Window.partitionBy("form_key").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    outer = matches.withColumn("covered", F.max("end").over(before)).where("covered is null or end > covered")
+    found = outer.groupBy("form_key").agg(
+        F.sort_array(F.collect_set("license_id")).alias("licenses"),
+        F.max((F.col("start") == 0) & (F.col("end") == F.col("size"))).alias("whole_text"),
+        F.count_distinct("digest").alias("n_units"),
+    )
+    return materialize(found, "license-units")

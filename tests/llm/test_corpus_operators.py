@@ -444,6 +444,25 @@ the Free Software Foundation; either version 3 of the License, or
     assert {r["doc_id"]: (r["licenses"], r["whole_text"]) for r in got} == {k: (n, w) for k, (_, n, w) in enumerate(cases)}
 
 
+def test_license_units_against_all_runs_of_lines(spark):
+    known = [("A", "alpha beta gamma delta"), ("B", "alpha beta gamma delta epsilon zeta"), ("C", "zeta eta theta iota kappa"), ("D", "epsilon zeta")]
+    lines = ["alpha beta", "gamma delta", "Alpha, beta gamma delta", "epsilon zeta", "zeta eta", "theta iota kappa", "other words", ""]
+    rng = random.Random(8)
+    rows = [(k % 190, "\n".join(rng.choices(lines, k=rng.randrange(9)))) for k in range(200)] + [(7, None)] + [(None, "epsilon zeta")] * 50
+
+    def units(text):
+        own = [x for x in (re.sub("[^a-z]+", " ", line.lower()).strip() for line in (text or "").split("\n")) if x]
+        runs = {(i, j): " ".join(own[i:j]) for i in range(len(own)) for j in range(i + 1, len(own) + 1)}
+        hits = {run: next((n for n, t in known if t == form), None) for run, form in runs.items()}
+        hits = {run: n for run, n in hits.items() if n}
+        outer = [(r, n) for r, n in hits.items() if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in hits)]
+        return tuple(sorted({n for _, n in outer})), any(r == (0, len(own)) for r, _ in outer), len({runs[r] for r, _ in outer})
+
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("licenses", F.lit("own"))
+    got = Counter((r[0], r[1], r[2], tuple(r[3]), r[4], r[5]) for r in licenses.scan_licenses(table, known).collect())
+    assert got == Counter((k, t, "own", *units(t)) for k, t in rows) and len({g[3] for g in got}) > 5
+
+
 def test_every_license_line_of_the_documents_is_found(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     with_line = licenses.scan_licenses(table.where(F.col("text").rlike(r"(?m)^(This work is licensed|Licensed|Released) under ")))
