@@ -25,12 +25,49 @@ FIRST_DAY, DAYS = "1900-01-01", (150, 487)
 # The forms of personal data.
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 SECRET = r"(?i:\b(?:token|secret|api[_-]?key|password)\b\s?[:=]\s?[\"'])[0-9A-Fa-f]{16,64}(?=[\"'])"
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: lengths of IBANs by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_form(length: int, countries: str) -> str:
+    """Groups of four, undivided or with a space between, up to the length; what follows is no part of it."""
+    groups, rest = divmod(length - 4, 4)
+    last = f"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}(?![A-Za-z0-9_])"
+
+
+#: by the length of the country; other countries and lengths as far as groups go
+IBAN = (
+    rf"\b(?:{'|'.join(_iban_form(n, c) for n, c in IBAN_LENGTHS.items())}"
+    r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
+)
 IPV4 = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"
-DATE = r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-]|\.[0-9])"
+_ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_DATE_END = r"(?![\w/-]|\.[0-9])"
+DATE = (
+    rf"(?<![\w./-])(?:{_ISO_DATE}(?=T[0-9]{{2}}:)"
+    rf"|(?:{_ISO_DATE}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}){_DATE_END})"
+)
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 _PHONE_3_3_4 = r"(?<![\w.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])"
-PHONE = r"(?<![\w+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,5}(?!\w)|" + _PHONE_3_3_4
+#: between the digits of a phone: a mark before a group of two or more digits that is no other value, or brackets
+_PHONE_MARK = rf"(?:[ .-](?!{'|'.join([IPV4, DATE, SSN])})(?=[0-9]{{2}})|[ .-]?\((?=[0-9]{{1,4}}\))|\)[ .-]?)?"
+
+
+def _phone_form(code: int) -> str:
+    """A country code of so many digits and the others, 8 to 15 in all; the run ends where a group ends."""
+    return rf"[0-9]{{{code}}}(?:[ .-]?\(|[ .-])?[0-9](?:{_PHONE_MARK}[0-9]){{{7 - code},{14 - code}}}"
+
+
+_PHONE_10 = r"1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+PHONE = (
+    rf"(?<![\w+])\+(?:{_PHONE_10}|{'|'.join(_phone_form(n) for n in (3, 2, 1))})(?!\w)|" + _PHONE_3_3_4
+)
 
 # The written forms of cards. A group of digits ends before a space, a mark or a dash and a short group;
 # groups that begin another value are not taken along.
@@ -330,7 +367,12 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     numbers, phone numbers and payment cards are replaced if valid; everything
     else stays to the letter. A card in a written form (4-4-4-4, 4-6-5, 4-6-4,
     undivided, digit by digit) is found beside other numbers, in other groups
-    only if no number stands next to it. The permutation of each kind is bijective on its
+    only if no number stands next to it. An IBAN ends at its country's length,
+    so other words and numbers may follow; one of a country or length not listed
+    is found if neither follows. A phone with a country code has 8 to 15 digits,
+    ten behind +1, and ends before a date, an address or a social security
+    number; a further group of digits within the 15 counts as a part of it. The
+    permutation of each kind is bijective on its
     domain, except that a slashed date is read month first where that is
     possible, so two differently written dates can meet.
 

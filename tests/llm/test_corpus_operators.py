@@ -299,6 +299,31 @@ def test_pseudonyms_in_texts_with_few_digits(spark):
         assert new and new[1] != value and got[k]["n_private"] == 1, got[k]
 
 
+def test_ibans_phones_and_times_beside_other_text(spark):
+    phone = r"(\+44 \d\d \d{4} \d{4})"
+    cases = {
+        "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": r"(ES\d\d(?: \d{4}){5}) BIC CAIXESBB",
+        "BE68 5390 0754 7034 EUR 100": r"(BE\d\d(?: \d{4}){3}) EUR 100",
+        "ES9121000418450200051332 2024": r"(ES\d{22}) 2024",
+        "AT61 1904 3002 3457 3201 PAYABLE": r"(AT\d\d(?: \d{4}){4}) PAYABLE",
+        "to DE89 3704 0044 0532 0130 00 4111 1111 1111 1111": r"to (DE\d\d(?: \d{4}){4} \d\d) (\d{4} \d{4} \d{4} \d{4})",
+        "+44 20 7946 0958 2024-01-15": phone + r" (\d{4}-\d\d-\d\d)",
+        "+44 20 7946 0958 8.8.4.4, 3": phone + r" (\d+\.\d+\.\d+\.\d+), 3",
+        "+1 415 555 2671 90210": r"(\+1 \d{3} \d{3} \d{4}) 90210",
+        "+14155552671 2024": r"(\+1\d{10}) 2024",
+        "+33 1 42 68 53 00 or +44 (0)20 7946 0958": r"(\+33 \d(?: \d\d){4}) or (\+44 \(\d\)\d\d \d{4} \d{4})",
+        "+49 30 901820 5": r"(\+49 \d\d \d{6}) 5",
+        "at 2021-02-28T10:00:00": r"at (\d{4}-\d\d-\d\d)T10:00:00",
+        "DE89 3704 0044 0532 0130 01, 2021-02-30T10:00:00": "DE89 3704 0044 0532 0130 01, 2021-02-30T10:00:00",
+    }
+    rows = list(enumerate(cases))
+    got = {r["doc_id"]: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    for k, (text, form) in enumerate(cases.items()):
+        new, old = re.fullmatch(form, got[k]["text"]), re.fullmatch(form, text)
+        assert new and all(a != b for a, b in zip(new.groups(), old.groups(), strict=True)), got[k]
+        assert got[k]["n_private"] == len(new.groups()), got[k]
+
+
 def test_cards_beside_other_numbers(spark):
     four, amex = r"(\d{4} \d{4} \d{4} \d{4})", r"(\d{4} \d{6} \d{5})"
     cases = {
