@@ -8,11 +8,13 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tenura import schemas
 from tenura.functions import dates, names, rules
 from tenura.operators import aggregates, history, joins, keys, quality
 from tenura.settings import Limits, materialize, shared_folder
+from tenura.sources.stored_history import StoredHistory
 
 SPLIT = Limits(max_group_rows=2)
 
@@ -253,6 +255,43 @@ def test_scd2_merge(spark, close_missing):
     }
 
 
+def test_stored_history_leaves_closed_versions_alone(spark, tmp_path, monkeypatch):
+    columns = ["k", "v", "effective_date", "expiry_date", "is_current"]
+    stored = StoredHistory(str(tmp_path / "history"), "k", StructType.fromDDL("k int, v string"))
+    assert stored.versions(spark).columns == columns and stored.versions(spark).isEmpty()
+    states = [
+        ("2020-01-01", [(1, "a"), (2, "b"), (3, None)]),
+        ("2021-01-01", [(1, "c"), (2, "b"), (4, "d")]),
+        ("2021-01-01", [(1, "c"), (2, "e"), (4, "f")]),
+        ("2022-01-01", []),
+        ("2023-01-01", [(1, "c")]),
+    ]
+    whole = history.scd2_columns(spark.createDataFrame([], "k int, v string"), dates.as_of_date("2020-01-01"))
+    before = {}
+    for day, rows in states:
+        state = spark.createDataFrame(rows, "k int, v string")
+        stored.load(state, dates.as_of_date(day))
+        whole = spark.createDataFrame(
+            history.scd2_merge(whole, state, "k", ["v"], dates.as_of_date(day)).collect(), whole.schema
+        )
+        assert values(stored.versions(spark), *columns) == values(whole, *columns)
+        files = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").rglob("*.parquet")}
+        assert before.items() <= files.items()
+        before = files
+    opened = stored.open_versions(spark)
+    assert len(opened.inputFiles()) >= 1 and all("is_current=true" in f for f in opened.inputFiles())
+    assert stored.load(spark.createDataFrame([(1, "c")], "k int, v string"), dates.as_of_date("2024-01-01")) == {"open": 1, "closed": 0}
+
+    def dies(*_):
+        raise OSError("lost")
+
+    was = values(stored.versions(spark), *columns)
+    monkeypatch.setattr("tenura.sources.stored_history.publish", dies)
+    with pytest.raises(OSError):
+        stored.load(spark.createDataFrame([(1, "z")], "k int, v string"), dates.as_of_date("2025-01-01"))
+    assert values(stored.versions(spark), *columns) == was
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame(
         [(1, "a", 1), (1, "b", 6), (2, None, None), (None, "z", -1), (None, "z", 3)], "k int, s string, n int"

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tenura.functions import dates, names, rules
 from tenura.operators import aggregates, history, joins, keys
 from tenura.plans.dimensions import date_attributes
+from tenura.settings import new_path
+from tenura.sources.stored_history import StoredHistory
 from workload.registry import query
 from workload.roles import AS_OF
 
@@ -369,10 +371,14 @@ def priorities_before(r, day):
     return before.groupBy("o_custkey").agg(newest).select("o_custkey", "last.*")
 
 
-@query(
-    "scd2_merge",
-    "",
-    """, ranked AS (
+def priorities_since(r, day):
+    """Each customer's latest order priority from a day on, and how that order ended."""
+    later = r.table("orders").filter(F.col("o_orderdate") >= F.lit(day).cast("timestamp_ntz"))
+    newest = F.max_by(F.struct("o_orderpriority", "o_orderstatus"), F.struct("o_orderdate", "o_orderkey")).alias("last")
+    return later.groupBy("o_custkey").agg(newest).select("o_custkey", "last.*")
+
+
+SCD2_SQL = """, ranked AS (
       SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS nth
       FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'),
     old AS (SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p,
@@ -387,13 +393,24 @@ def priorities_before(r, day):
     FROM pairs WHERE old_key IS NOT NULL
     UNION ALL
     SELECT new_key, p, s, '2002-01-01', '9999-12-31', true FROM pairs
-    WHERE new_key IS NOT NULL AND (old_key IS NULL OR changed)""",
-)
+    WHERE new_key IS NOT NULL AND (old_key IS NULL OR changed)"""
+
+
+@query("scd2_merge", "", SCD2_SQL)
 def _(r):
     versions = history.scd2_columns(priorities_before(r, "1996-01-01"), dates.as_of_date("1996-01-01"))
-    later = r.table("orders").filter(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-    newest = F.max_by(F.struct("o_orderpriority", "o_orderstatus"), F.struct("o_orderdate", "o_orderkey")).alias("last")
-    incoming = later.groupBy("o_custkey").agg(newest).select("o_custkey", "last.*")
+    incoming = priorities_since(r, "1996-01-01")
     return history.scd2_merge(
         versions, incoming, "o_custkey", ["o_orderpriority", "o_orderstatus"], dates.as_of_date(AS_OF)
     )
+
+
+@query("stored_history", "", SCD2_SQL)
+def _(r):
+    """The same history loaded into files, the last state twice."""
+    first = priorities_before(r, "1996-01-01")
+    stored = StoredHistory(new_path(r.spark, "history"), "o_custkey", first.schema)
+    stored.load(first, dates.as_of_date("1996-01-01"))
+    for _ in range(2):
+        stored.load(priorities_since(r, "1996-01-01"), dates.as_of_date(AS_OF))
+    return stored.versions(r.spark)
