@@ -43,7 +43,7 @@ def _iban_form(length: int, countries: str) -> str:
 
 #: by the length of the country; other countries and lengths as far as groups go
 IBAN = (
-    rf"\b(?:{'|'.join(_iban_form(n, c) for n, c in IBAN_LENGTHS.items())}"
+    rf"\b(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(_iban_form(n, c) for n, c in IBAN_LENGTHS.items())}"
     r"|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
 )
 IPV4 = r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"
