@@ -7,10 +7,12 @@ swept upwards: a gap takes the largest piece below it that no smaller gap has
 taken, so every piece goes to the closest gap that is still free. A range
 sweeps alone; what it leaves open (gaps at its start, pieces at its end) is
 matched across ranges by rank: only the two counts of each range go to the
-driver. Gaps shrink and the step is repeated until no open piece fits a gap;
-only then the rest opens new sequences, filled one after the other. Once steps
-place few pieces, a gap also takes several at once: as many as of the largest
-size would fit, by the ranks of the pieces and prefix sums of that number.
+driver. Gaps shrink and the step is repeated. The numbers of open pieces and
+gaps of each size, which can not exceed the capacity, tell what a further
+sweep would place; once that is less than one in a thousand open pieces, the
+rest opens new sequences, filled one after the other. Where gaps hold many
+pieces, a gap takes several at once: as many as of the largest size would
+fit, by the ranks of the pieces and prefix sums of that number.
 """
 
 from __future__ import annotations
@@ -36,8 +38,11 @@ END = 1
 #: the lower ends of the size classes below half a sequence, as parts of the capacity
 CLASSES = (8, 32, 128)
 
-#: once a step places less than this share of its open pieces, gaps take several at once
-PROGRESS = 0.02
+#: sweeps end once another would place no more than this share of the open pieces (none, if fewer than 1,000 are open)
+TAIL = 0.001
+
+#: gaps take several pieces at once where that places this many times what a sweep does
+SWEEPS = 4
 
 #: pieces wait for the gaps of new sequences if they fit at least this share of them
 WORTHWHILE = 0.25
@@ -287,13 +292,10 @@ def _counted(rows: DataFrame, *order) -> tuple[DataFrame, int]:
     return counted.join(table, "part").select("name", "size", "slots", (F.col("start") + F.col("before")).alias("at")), total
 
 
-def _fill_gaps(left: DataFrame, gaps: DataFrame, count: int, capacity: int) -> tuple[DataFrame, int] | None:
-    """As a step, but a gap takes as many pieces as it holds of the largest size; None if no gap holds one."""
-    top = left.agg(F.max("size")).first()[0]
+def _fill_gaps(left: DataFrame, gaps: DataFrame, count: int, top: int, capacity: int) -> tuple[DataFrame, int]:
+    """As a step, but a gap takes as many pieces as it holds of ``top``, the largest size of all."""
     slots = F.floor(F.col("open") / top).cast("int")
     room = gaps.where(F.col("open") >= top)
-    if room.isEmpty():
-        return None
     room, total = _counted(room.select(F.col("seq").alias("name"), F.col("open").cast("int").alias("size"), slots.alias("slots")), "size", "name")
     own, _ = _counted(
         left.select(F.col("key").alias("name"), "size", F.lit(1).alias("slots")), F.col("size").desc(), F.col("name")
@@ -356,19 +358,37 @@ def _open(left: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def _waiting(left: DataFrame, capacity: int) -> tuple[int, int]:
+def _sizes(left: DataFrame, gaps: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Number of open pieces of each size and of gaps of each size: at most twice ``capacity`` rows."""
+    both = left.select("size", F.lit(False).alias("is_gap")).unionAll(gaps.select("open", F.lit(True)))
+    sizes: tuple[dict[int, int], dict[int, int]] = ({}, {})
+    for size, is_gap, count in both.groupBy("size", "is_gap").count().collect():
+        sizes[is_gap][size] = count
+    return sizes
+
+
+def _fitting(sizes: dict[int, int], gaps: dict[int, int]) -> int:
+    """How many pieces one sweep places."""
+    waiting = placed = 0
+    for size in sorted(sizes.keys() | gaps.keys()):
+        waiting += sizes.get(size, 0)
+        taken = min(waiting, gaps.get(size, 0))
+        placed, waiting = placed + taken, waiting - taken
+    return placed
+
+
+def _waiting(sizes: dict[int, int], capacity: int) -> tuple[int, int]:
     """(size, number of pieces up to it): the size from which on pieces wait for the gaps of new sequences.
 
     That is the largest one that fits the gaps of at least ``WORTHWHILE`` of
-    the sequences which the larger pieces open; (0, 0) if there is none. Only
-    the number of pieces of each size is looked at, at most ``capacity`` rows.
+    the sequences which the larger pieces open; (0, 0) if there is none.
     """
-    sizes = sorted(((r["size"], r["count"]) for r in left.groupBy("size").count().collect()), reverse=True)
+    falling = sorted(sizes.items(), reverse=True)
     gaps: list[tuple[int, int]] = []
-    for i, (size, count) in enumerate(sizes):
+    for i, (size, count) in enumerate(falling):
         usable = sum(n for gap, n in gaps if gap >= size)
         if usable and usable >= WORTHWHILE * sum(n for _, n in gaps):
-            return size, sum(n for _, n in sizes[i:])
+            return size, sum(n for _, n in falling[i:])
         each = capacity // size
         gaps.append((capacity - each * size, -(-count // each)))
     return 0, 0
@@ -396,29 +416,29 @@ def place(lengths: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         idle = [gaps.where(F.col("open") <= low).select("seq", "open")]
         gaps = gaps.where(F.col("open") > low)
         while count:
-            slow = False
+            several = 0
             while count:
-                step = _fill_gaps(left, gaps, count, capacity) if slow else None
-                if step:
-                    step, count = step
-                    placed.append(step.where("key is not null and seq is not null"))
-                    gaps, left = step.where(f"seq is not null and open > {low}"), step.where("seq is null")
-                    idle.append(step.where(f"seq is not null and open > 0 and open <= {low}").select("seq", "open"))
-                    if not count:
-                        break
-                step, still = _step(left, gaps, capacity)
+                # in a sweep, a gap that takes nothing is smaller than all open pieces
+                if several:
+                    step, count = _fill_gaps(left, gaps, count, top, capacity)
+                else:
+                    step, count = _step(left, gaps, capacity)
                 placed.append(step.where("key is not null and seq is not null"))
-                taken = f"key is not null and open > {low}"
-                gaps, left = step.where(f"seq is not null and {taken}"), step.where("seq is null")
-                idle.append(step.where(f"seq is not null and open > 0 and not ({taken})").select("seq", "open"))
-                progress, count = count - still, still
-                if not progress:
+                free = f"open > {low}" if several else f"key is not null and open > {low}"
+                gaps, left = step.where(f"seq is not null and {free}"), step.where("seq is null")
+                idle.append(step.where(f"seq is not null and open > 0 and not ({free})").select("seq", "open"))
+                if not count:
+                    break
+                sizes, opens = _sizes(left, gaps)
+                top, swept = max(sizes), _fitting(sizes, opens)
+                several = sum(n * (gap // top) for gap, n in opens.items())
+                if max(swept, several) <= TAIL * count:
                     break
-                slow = slow or progress < PROGRESS * (progress + still) + 1
+                several = several if several > SWEEPS * swept else 0
             if count:
                 # long pieces that fit the gaps of new sequences wait for them; the gaps that shorter pieces
                 # leave are smaller than an eighth of a sequence and go to the next classes
-                waiting, count = _waiting(left, capacity) if not k else (0, 0)
+                waiting, count = _waiting(sizes, capacity) if not k else (0, 0)
                 opened = _open(left.where(F.col("size") > waiting), capacity)
                 placed.append(opened)
                 idle.append(opened.where(f"open > 0 and open <= {low}").select("seq", "open"))
