@@ -146,8 +146,8 @@ def likeness(one: str, other: str) -> float:
 
 
 SCHEMA = (
-    "doc_id long, n_chars long, text_sha256 string, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-    " near_edited double, near_next double, common_edited long, common_next long, next_id long"
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
+    " near_edited double, near_next double, text_sha256 string, common_edited long, common_next long, next_id long"
 )
 _NULL_ID = -(2**63)
 
@@ -246,7 +246,7 @@ def _compare(one: tuple, after: tuple) -> tuple:
     edited_hashes = PrefixHashes(edited)
     edited_mark = fingerprint(edited_hashes)
     return (
-        key, n, _sha(body), _sha(edited), mark, edited_mark, likeness(mark, edited_mark), likeness(mark, after[5]),
-        hashes.common(edited_hashes), hashes.common(after[4]), after[2],
+        key, n, _sha(edited), mark, edited_mark, likeness(mark, edited_mark), likeness(mark, after[5]),
+        _sha(body), hashes.common(edited_hashes), hashes.common(after[4]), after[2],
     )
 
