@@ -226,7 +226,27 @@ def test_packing_few_gaps_and_many_short_pieces(spark):
         assert [o for o, _ in sorted(own)] == ends[:-1].tolist() and ends[-1] <= packing.CAPACITY
 
 
+def test_packing_foresees_what_a_sweep_places(spark):
+    rng = random.Random(5)
+    for _ in range(3):
+        pieces = [rng.randint(1, 60) for _ in range(rng.randint(1, 80))]
+        free = [rng.randint(1, 60) for _ in range(rng.randint(1, 80))]
+        left = spark.createDataFrame(list(enumerate(pieces)), "key long, size int")
+        gaps = spark.createDataFrame(list(enumerate(free)), "seq long, open int")
+        sizes = packing._sizes(left, gaps)
+        assert sizes == (Counter(pieces), Counter(free))
+        assert packing._step(left, gaps, 60)[1] == len(pieces) - packing._fitting(*sizes)
+
+
+def test_packing_two_sizes_need_no_more_than_best_fit_decreasing(spark):
+    sizes = [1500] * 1000 + [1000] * 1000
+    lengths = spark.createDataFrame(list(enumerate(sizes)), "key long, size int")
+    rows = packing.place(lengths).collect()
+    assert len(rows) == len(sizes) and len({r["seq"] for r in rows}) <= 625
+
+
 def test_fingerprints(docs, empty):
+    assert fingerprints.fingerprint_successors(empty).columns[:4] == ["doc_id", "n_chars", "edited_sha256", "fingerprint"]
     rows = {r["doc_id"]: r for r in fingerprints.fingerprint_successors(docs.where("doc_id is not null")).collect()}
     order = sorted(((k, t or "") for k, t in awkward() if k is not None), reverse=True)
     for (key, text), (after, later) in zip(order, order[1:] + order[:1], strict=True):
