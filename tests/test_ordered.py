@@ -7,12 +7,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.operators import ordered
+from tenura.operators import keys, ordered
 from tenura.operators.history import close_history
 from tenura.operators.keys import surrogate_keys, uniquify
 from tenura.operators.ordered import Neighbour, Rank, RowNumber, RunningMax, hot_keys, number_rows, over_groups
 from tenura.operators.skew import KeyProfile, profile_keys, surely_found
-from tenura.settings import Limits, use_profile
+from tenura.settings import Limits, materialize, use_profile
 
 SPLIT = Limits(max_group_rows=20)
 SPLIT_ALL = Limits(max_group_rows=0)
@@ -157,6 +157,33 @@ def test_uniquify_equals_one_by_one(spark, rows, limits):
     assert len(got) == len(rows)
 
 
+def test_uniquify_goes_through_a_group_once(spark, monkeypatch):
+    """The tables written do not grow with the rows; before, each round of moved names wrote two."""
+    written = []
+    keep = lambda df, label: written.append(label) or materialize(df, label)
+    monkeypatch.setattr(keys, "materialize", keep)
+    counts = []
+    for n in (300, 1500):
+        rows = [(i, f"s{i % 4}" + (str(i % 5) if i % 3 == 0 else "")) for i in range(n)]
+        written.clear()
+        frame = spark.createDataFrame(rows, "id bigint, base string").repartition(3)
+        got = {r["id"]: r["name"] for r in uniquify(frame, "base", ["id"], "name", limits=PLAIN).collect()}
+        assert got == one_by_one(rows)
+        counts.append(len(written))
+    assert max(counts) <= 1 + 4 * 3
+
+
+@pytest.mark.parametrize("limits", [PLAIN, SPLIT_ALL], ids=["plain", "split"])
+def test_uniquify_names_rows_of_equal_or_no_order(spark, limits):
+    """One name for each row; before, a null order never moved on and equal ones multiplied rows."""
+    rows = [(None, "a"), (None, "a"), (1, "a1"), (1, "a1"), (2, "a"), (2, "a"), (3, None)]
+    frame = spark.createDataFrame(rows, "id bigint, base string")
+    got = uniquify(frame, "base", ["id"], "name", limits=limits).collect()
+    assert [r for r in got if r["base"] is None] == [(3, None, None)]
+    assert sorted(r["name"] for r in got if r["base"]) == ["a", "a1", "a11", "a12", "a2", "a3"]
+    assert sorted(r["name"] for r in got if r["base"] and r["id"] is None) == ["a", "a1"]
+
+
 def test_uniquify_of_nothing(spark):
     empty = spark.createDataFrame([], "id bigint, base string")
     assert uniquify(empty, "base", ["id"], "name").collect() == []
