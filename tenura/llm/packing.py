@@ -18,6 +18,7 @@ fit, by the ranks of the pieces and prefix sums of that number.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -50,6 +51,11 @@ WORTHWHILE = 0.25
 _PIECES = "key long, id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokens(dict):
     """Token ids of a text between spaces, as little-endian bytes.
 
@@ -67,7 +73,9 @@ class WordTokens(dict):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(file)
         self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.any_special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+        self.special_letters = any(t.isalpha() for t in special)
         self.words: dict[str, bytes] = {}
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         self.shown = {b: chr(b) for b in shown}
@@ -85,23 +93,27 @@ class WordTokens(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= CACHED_WORDS // 2:
-                self.words.clear()
-            shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
-            ids = self.words[word] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        if len(self.words) >= CACHED_WORDS // 2:
+            self.words.clear()
+        shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+        ids = self.words[word] = pack_ids([t.id for t in self.model.tokenize(shown)])
         return ids
 
     def _part(self, part: str) -> bytes:
-        if (
-            not self.word_by_word
-            or not self.PLAIN.fullmatch(part)
-            or any(s in part for s in self.special)
-            or not unicodedata.is_normalized("NFC", part)
-        ):
+        if not self.word_by_word:
+            return self._whole(part)
+        words = self.words
+        if part.isascii():
+            # letters alone are one word
+            if part.isalpha() and not self.special_letters:
+                low = part.lower()
+                return words.get(low) or self._word(low)
+            plain = self.PLAIN.fullmatch(part)
+        else:
+            plain = self.PLAIN.fullmatch(part) and unicodedata.is_normalized("NFC", part)
+        if not plain or self.any_special(part):
             return self._whole(part)
-        return b"".join(map(self._word, self.WORD.findall(part.lower())))
+        return b"".join([words.get(word) or self._word(word) for word in self.WORD.findall(part.lower())])
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= CACHED_WORDS:

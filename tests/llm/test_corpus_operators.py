@@ -588,3 +588,21 @@ def test_nearest_few_and_none(spark):
     assert sorted((r["rank"], r["vec_id"]) for r in got) == [(1, 1), (2, 2)]
     assert not ann.nearest(few.limit(0), F.col("vec_id") == 0).collect()
     assert not ann.nearest(few, F.col("vec_id") == 7).collect()
+
+
+def test_letters_alone_are_not_cut_into_words():
+    """A part of ASCII letters is one word and skips the checks that other parts need; all parts get the tokenizer's ids."""
+    tokens = packing.WordTokens(vocabulary())
+    assert tokens.word_by_word
+    parts = ["Words", "ing", "ABC", "It's", "x's1", "don't", "café", "É", "12a", "&&&", "a.b,", "\u0130x", "e\u0301", "<|endoftext|>", "a<|endoftext|>b"]
+    for part in parts:
+        assert tokens._part(part) == tokens._whole(part), part
+
+    class Never:
+        def __getattr__(self, name):
+            raise AssertionError("a part of letters needs no pattern")
+
+    tokens.WORD = tokens.PLAIN = Never()
+    assert tokens._part("Unseenword") == tokens._whole("Unseenword")
+    with pytest.raises(AssertionError):
+        tokens._part("unseen-word")
