@@ -18,7 +18,8 @@ FOLDER = "/root/testdata/sf0.001"
 def test_equal_to_sql(spark, name):
     got = QUERIES[name](spark, FOLDER)
     with duckdb.connect() as db:
-        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+        for table in ("documents", "pages"):
+            db.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
         columns = ", ".join(got.columns)
         want = db.execute(f"SELECT {columns} FROM ({ORACLES[name]})").fetchall()
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
