@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenura.operators.ordered import hot_keys, split_by_keys
+from tenura.settings import Limits
+
 
 def amount_stats(amount: str) -> list[Column]:
     """Average, minimum, maximum and sample standard deviation to two decimals."""
@@ -31,8 +34,22 @@ def average_rating(reviews: DataFrame, key: str = "employee_id", out: str = "avg
     return reviews.groupBy(key).agg(F.round(F.avg("rating"), 1).alias(out))
 
 
-def distinct_pairs(df: DataFrame, pair: list[str], keep_first_by: str) -> DataFrame:
-    """One row per pair: the one with the lowest ``keep_first_by``, ties by the other columns."""
+def distinct_pairs(df: DataFrame, pair: list[str], keep_first_by: str, limits: Limits | None = None) -> DataFrame:
+    """One row per pair: the one with the lowest ``keep_first_by``, ties by the other columns.
+
+    The rows of a pair's first key meet in one task, so that grouping or joining
+    by that key afterwards needs no shuffle of its own. Pairs of a hot first key
+    are spread by both columns.
+    """
+    hot = hot_keys(df, pair[:1], limits)
+    if hot is None:
+        return _first_of_pairs(df.repartition(pair[0]), pair, keep_first_by)
+    cold_rows, hot_rows = split_by_keys(df, pair[:1], hot)
+    cold = _first_of_pairs(cold_rows.repartition(pair[0]), pair, keep_first_by)
+    return cold.unionByName(_first_of_pairs(hot_rows, pair, keep_first_by))
+
+
+def _first_of_pairs(df, pair, keep_first_by):
     rest = [c for c in df.columns if c not in pair and c != keep_first_by]
     first = F.min(F.struct(keep_first_by, *rest)).alias("_first")
     return df.groupBy(*pair).agg(first).select(*pair, "_first.*").select(*df.columns)

@@ -21,7 +21,7 @@ from tenura.schemas import (
     UNIQUE_KEYS,
     WAREHOUSE_TABLES,
 )
-from tenura.settings import Limits
+from tenura.settings import Limits, materialize
 from tenura.sources.publish import current_version, publish, read_version, stage
 
 # fixed values: rows a loaded warehouse table has at least
@@ -100,9 +100,10 @@ def build_warehouse(
     tables = star_schema(
         spark, extract_all(source), source, as_of, start_year, end_year, limits=limits, carry=("salary_id",)
     )
+    # the sort looks at its input twice, for the ranges and for the rows, so the joins are stored before it;
     # the salary id makes the order unique, so that the rows of one employee spread over the sort
     tables["fact_employee_snapshot"] = number_rows(
-        tables["fact_employee_snapshot"], ["employee_key", "salary_id"], "snapshot_id", limits
+        materialize(tables["fact_employee_snapshot"], "fact-rows"), ["employee_key", "salary_id"], "snapshot_id", limits
     )
     version, counts = stage(tables, directory)
     loaded = read_version(spark, directory, version)

@@ -145,6 +145,23 @@ def test_distinct_pairs_keeps_the_first(spark):
     assert kept.columns == df.columns and values(kept, "id", "v") == [(1, "a"), (2, "b")]
 
 
+def test_distinct_pairs_split_and_with_nulls(spark):
+    rows = [(4, 1, 1, "d"), (1, 1, 1, "a"), (2, 1, 2, "b"), (3, None, 1, "c"), (5, None, 1, "e"), (6, 2, None, None)]
+    df = spark.createDataFrame(rows, "id int, p int, q int, v string")
+    kept = [(1, 1, 1, "a"), (2, 1, 2, "b"), (3, None, 1, "c"), (6, 2, None, None)]
+    for limits in (None, Limits(max_group_rows=0), Limits(max_group_rows=2)):
+        pairs = aggregates.distinct_pairs(df, ["p", "q"], "id", limits)
+        assert pairs.columns == df.columns and sorted(map(tuple, pairs.collect())) == kept
+
+
+def test_counting_distinct_pairs_shuffles_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 AS p", "id % 5 AS q").write.parquet(str(tmp_path / "work"))
+    pairs = aggregates.distinct_pairs(spark.read.parquet(str(tmp_path / "work")), ["p", "q"], "id")
+    counts = pairs.groupBy("p").agg(F.count("q").alias("n"))
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert sorted(map(tuple, counts.collect())) == [(p, 5) for p in range(7)]
+
+
 def test_month_ends(spark):
     cases = [
         ("2024-01-15", "2024-03-31", ["2024-01-31", "2024-02-29", "2024-03-31"]),

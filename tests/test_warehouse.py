@@ -200,6 +200,18 @@ def test_warehouse_build_load_and_gate(spark, source, tmp_path, limits):
         quality.gate(warehouse.minimum_row_report(again, warehouse.MINIMUM_ROWS))
 
 
+def test_fact_is_stored_before_it_is_sorted(spark, source, tmp_path, monkeypatch):
+    number, plans = warehouse.number_rows, []
+
+    def watched(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return number(df, *args)
+
+    monkeypatch.setattr(warehouse, "number_rows", watched)
+    warehouse.build_warehouse(spark, source, str(tmp_path / "w"), AS_OF, 2024, 2024, minimum_rows={})
+    assert len(plans) == 1 and "Join" not in plans[0] and "Aggregate" not in plans[0]
+
+
 def test_warehouse_of_empty_sources_reaches_the_gate(spark, tmp_path):
     empty = {table: schemas.empty_table(spark, table) for table in schemas.SOURCE_TABLES}
     with pytest.raises(ValueError, match="minimum_rows"):
